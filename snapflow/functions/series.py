@@ -2,33 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Anchors around the series in a price page.
 SERIES_ANCHOR = "var json1"
 VALUE_ANCHOR = '"value"'
 
+_POINTS = "array<struct<date: date, price: bigint>>"
 
-def series_blocks(html: Column) -> Column:
-    """struct(time_part, value_part); null when an anchor is missing.
 
-    An unclosed value list loses its last character, so a value whose closing
-    quote ends the page is not read.
+def series_halves(html: Column) -> Column:
+    """Text between the two anchors and text after the second; fewer items when one is missing."""
+    return F.split(F.get(F.split(html, SERIES_ANCHOR, 2), F.lit(1)), VALUE_ANCHOR, 2)
+
+
+def value_part(rest: Column) -> Column:
+    """Up to the closing bracket.
+
+    An unclosed list loses its last character, so a value whose closing quote
+    ends the page is not read.
     """
-    start = F.instr(html, SERIES_ANCHOR)
-    block = F.substr(html, start)
-    at = F.instr(block, VALUE_ANCHOR)
-    rest = F.substr(block, at)
-    close = F.instr(rest, "]")
-    value_part = F.substr(
-        rest, F.lit(1), F.when(close > 0, close - 1).otherwise(F.length(rest) - 1)
-    )
-    return F.when(
-        (start > 0) & (at > 0),
-        F.struct(
-            F.substr(block, F.lit(1), at - 1).alias("time_part"), value_part.alias("value_part")
-        ),
+    return F.when(F.contains(rest, F.lit("]")), F.substring_index(rest, "]", 1)).otherwise(
+        F.left(rest, F.length(rest) - 1)
     )
 
 
@@ -39,15 +35,13 @@ def series_labels(part: Column) -> Column:
 
 def series_values(part: Column) -> Column:
     """All quoted integers as long, in order."""
-    return F.transform(
-        F.regexp_extract_all(part, F.lit('"([0-9]+)"'), F.lit(1)), lambda v: v.try_cast("bigint")
-    )
+    return F.regexp_extract_all(part, F.lit('"([0-9]+)"'), F.lit(1)).try_cast("array<bigint>")
 
 
-def back_date(labels: Column, end: Column) -> Column:
-    """Date of each label, counted back one day at a time from ``end``."""
-    last = F.size(labels) - 1
-    return F.transform(labels, lambda _, i: F.date_sub(end, last - i))
+def back_date(n: Column, end: Column) -> Column:
+    """Dates of ``n`` points, counted back one day at a time from ``end``."""
+    ages = F.when(n > 0, F.sequence(n - 1, F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return F.transform(ages, lambda k: F.date_sub(end, k))
 
 
 def zip_points(dates: Column, values: Column) -> Column:
@@ -69,10 +63,20 @@ def latest_point(points: Column) -> Column:
     return F.try_element_at(points, F.lit(-1))
 
 
-def series_points(html: Column, end: Column, n: int | None = None) -> Column:
-    """array<struct<date, price>> of a price page; empty when it holds no series."""
-    blocks = series_blocks(html)
-    points = zip_points(
-        back_date(series_labels(blocks["time_part"]), end), series_values(blocks["value_part"])
+def with_series(
+    df: DataFrame, html: str, end: Column, n: int | None = None, name: str = "points"
+) -> DataFrame:
+    """Add the (date, price) points of each price page; empty when it holds no series.
+
+    Built in steps, so that each regular expression runs once per page.
+    """
+    parts = df.withColumn("_halves", series_halves(F.col(html)))
+    read = parts.withColumns({
+        "_n": F.coalesce(F.size(series_labels(F.get("_halves", F.lit(0)))), F.lit(0)),
+        "_values": series_values(value_part(F.get("_halves", F.lit(1)))),
+    })
+    dated = read.withColumn("_dates", back_date(F.col("_n"), end))
+    paired = dated.withColumn(
+        name, F.coalesce(zip_points(F.col("_dates"), F.col("_values")), F.array().cast(_POINTS))
     )
-    return F.coalesce(recent(points, n), F.expr("cast(array() as array<struct<date:date,price:bigint>>)"))
+    return paired.withColumn(name, recent(F.col(name), n)).drop("_halves", "_n", "_values", "_dates")

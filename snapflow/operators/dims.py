@@ -54,15 +54,16 @@ def resolve_ids(cards: DataFrame, key: str, lists: dict[str, tuple[str, DataFram
     lists travel through one join and one regrouping on the card key. Cards
     come back as (key, output columns); a card without names has empty lists.
     """
-    tagged = [
-        F.transform(
-            F.coalesce(F.col(src), F.array().cast("array<string>")),
-            lambda n, i, out=out: F.struct(F.lit(out).alias("dim"), i.alias("pos"), n.alias("name")),
+
+    def tagged(out: str, src: str):
+        names = F.coalesce(F.col(src), F.array().cast("array<string>"))
+        return F.transform(
+            names, lambda n, i: F.struct(F.lit(out).alias("dim"), i.alias("pos"), n.alias("name"))
         )
-        for out, (src, _) in lists.items()
-    ]
+
+    all_names = F.concat(*[tagged(out, src) for out, (src, _) in lists.items()])
     # an outer generator keeps cards without any name
-    names = cards.select(key, F.explode_outer(F.concat(*tagged)).alias("m")).select(key, "m.*")
+    names = cards.select(key, F.explode_outer(all_names).alias("m")).select(key, "m.*")
     members = reduce(
         DataFrame.unionByName,
         [d.select(F.lit(out).alias("dim"), "name", "id") for out, (_, d) in lists.items()],

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from snapflow.functions import text as tx
 from snapflow.functions.scalars import main_sub, names_of, series_end
-from snapflow.functions.series import latest_point, series_points
+from snapflow.functions.series import latest_point, with_series
 from snapflow.operators.page_text import card_text
 from snapflow.schemas import RAW_CARD, STAT_COLUMNS
 from snapflow.sources.readers import with_page_keys
@@ -141,16 +141,15 @@ def split_valid(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def price_series(pages: DataFrame, as_of: Column, n: int | None = None) -> DataFrame:
     """Price history rows (spid, strong, date, price) of price pages read on ``as_of``."""
-    points = series_points(F.col("html"), series_end(as_of), n)
-    return with_page_keys(pages).select("spid", "strong", F.inline(points))
+    points = with_series(with_page_keys(pages), "html", series_end(as_of), n)
+    return points.select("spid", "strong", F.inline("points"))
 
 
 def latest_prices(pages: DataFrame, as_of: Column) -> DataFrame:
     """Latest point of each price page; pages without one are left out. No shuffle."""
-    last = latest_point(series_points(F.col("html"), series_end(as_of), 1))
+    points = with_series(with_page_keys(pages), "html", series_end(as_of), 1)
     return (
-        with_page_keys(pages)
-        .select("page_id", "spid", "strong", last.alias("p"))
+        points.select("page_id", "spid", "strong", latest_point(F.col("points")).alias("p"))
         .select(
             "page_id", "spid", "strong",
             F.col("p.price").alias("price"), F.col("p.date").alias("price_date"),

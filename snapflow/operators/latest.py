@@ -11,14 +11,23 @@ _PRUNED_RANK = 1000
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key.
+    """The row with the greatest ``order`` per key; ``order`` decides between all rows of a key.
 
     An aggregate rather than a window: each map task keeps one row per key, so
-    a key holding a third of the input sends one row per task.
+    a key holding a third of the input sends one row per task. A single,
+    non-null order column over fixed-width columns needs no sort at all.
     """
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)
+    if len(order) == 1:
+        newest = [F.max_by(c, order[0]).alias(c) for c in rest]
+        return df.groupBy(*keys).agg(*newest).select(*df.columns)
+    rest = [c for c in rest if c not in order]
+    at = F.struct(*order)
+    # apart, so that an unused order is pruned
+    grouped = df.groupBy(*keys).agg(
+        F.max_by(F.struct(*rest), at).alias("_row"), F.max(at).alias("_at")
+    )
+    return grouped.select(*keys, "_row.*", "_at.*").select(*df.columns)
 
 
 def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

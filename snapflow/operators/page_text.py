@@ -6,35 +6,99 @@ element nesting, entities and NFKC. Typing and rules are column expressions.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from bisect import bisect_left, bisect_right
+from html import unescape
 from html.parser import HTMLParser
 
-# Elements without content.
+# Elements without content, and elements whose text is not page text.
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 _NO_TEXT = frozenset(("script", "style", "template"))
 
+# Markup in its regular form, one token at a time. A page with anything else in
+# it goes through the standard parser, which is several times slower.
+_ATTRIBUTE = r"""\s+([a-zA-Z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`/]+))?"""
+_ATTRIBUTES = re.compile(_ATTRIBUTE)
+_TOKEN = re.compile(
+    rf"""
+      (?P<text>[^<]+)
+    | </(?P<end>[a-zA-Z][a-zA-Z0-9]*)\s*>
+    | <(?P<code>script|style)(?P<code_attrs>(?:{_ATTRIBUTE})*)\s*>
+      [^<]*(?:<(?!/(?i:script|style)|!--)[^<]*)*</(?P=code)> (?P<raw>)
+    | <(?!(?i:script|style|textarea|title|iframe|xmp|noembed|noframes|noscript|plaintext)\b)
+      (?P<start>[a-zA-Z][a-zA-Z0-9]*)(?P<attrs>(?:{_ATTRIBUTE})*)\s*(?P<empty>/?)>
+    | <title>(?P<title>[^<]*)</title>
+    | <!--(?!-?>)[^-]*(?:-(?!-)[^-]*)*--> (?P<comment>)
+    | <!(?i:doctype)[^<>]*>
+    | (?P<irregular><)
+    """,
+    re.VERBOSE,
+)
+
+
+def _attributes(tag: str, text: str) -> dict:
+    """Attributes of a regular tag, read only where one is asked for."""
+    if "class" not in text.lower() and tag != "img":
+        return {}
+    found = {}
+    for name, value in _ATTRIBUTES.findall(text):
+        bare = value[1:-1] if value[:1] in ('"', "'") else value
+        found[name.lower()] = unescape(bare) if value else None
+    return found
 
-class Page(HTMLParser):
+
+class Page:
     """Elements in page order with their class names, extent and text."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
+        if not self._read_regular(html):
+            self._clear()
+            feeder = _Feeder(self)
+            feeder.feed(html)
+            feeder.close()
+        self.break_text()
+        while self._open:
+            self._shut(self._open.pop())
+
+    def _clear(self) -> None:
         self.tags, self.classes, self.attrs, self.parents = [], [], [], []
         self.last, self.text_from, self.text_to = [], [], []
         self.texts: list[str] = []
         self.by_name: dict[str, list[int]] = {}
         self._open: list[int] = []
         self._pending: list[str] = []
-        self.feed(html)
-        self.close()
-        self._end_text()
-        while self._open:
-            self._shut(self._open.pop())
 
-    def _end_text(self) -> None:
+    def _read_regular(self, html: str) -> bool:
+        self._clear()
+        for m in _TOKEN.finditer(html):
+            kind = m.lastgroup
+            if kind == "text":
+                text = m["text"]
+                self.add_text(unescape(text) if "&" in text else text)
+            elif kind == "end":
+                self.end(m["end"].lower())
+            elif kind == "empty":
+                tag = m["start"].lower()
+                self.start(tag, _attributes(tag, m["attrs"]))
+                if m["empty"] and tag not in _VOID:
+                    self.end(tag)
+            elif kind == "irregular":
+                return False
+            elif kind == "raw":
+                self.start(m["code"], _attributes(m["code"], m["code_attrs"]))
+                self.end(m["code"])
+            elif kind == "title":
+                self.start("title", {})
+                self.add_text(unescape(m["title"]))
+                self.end("title")
+            else:
+                self.break_text()
+        return True
+
+    def break_text(self) -> None:
         if self._pending:
             text = "".join(self._pending)
             self._pending.clear()
@@ -46,10 +110,10 @@ class Page(HTMLParser):
         self.last[node] = len(self.tags)
         self.text_to[node] = len(self.texts)
 
-    def handle_starttag(self, tag, attrs):
-        self._end_text()
-        node, attrs = len(self.tags), dict(attrs)
-        classes = frozenset((attrs.get("class") or "").split())
+    def start(self, tag: str, attrs: dict) -> None:
+        self.break_text()
+        node = len(self.tags)
+        classes = (attrs.get("class") or "").split()
         self.tags.append(tag)
         self.classes.append(classes)
         self.attrs.append(attrs)
@@ -57,32 +121,26 @@ class Page(HTMLParser):
         self.last.append(node + 1)
         self.text_from.append(len(self.texts))
         self.text_to.append(len(self.texts))
-        for name in [f"<{tag}>", *classes]:
+        self.by_name.setdefault(f"<{tag}>", []).append(node)
+        for name in set(classes) if classes else ():
             self.by_name.setdefault(name, []).append(node)
         if tag not in _VOID:
             self._open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self._end_text()
+    def end(self, tag: str) -> None:
+        self.break_text()
+        if self._open and self.tags[self._open[-1]] == tag:
             self._shut(self._open.pop())
-
-    def handle_endtag(self, tag):
-        self._end_text()
-        if any(self.tags[n] == tag for n in self._open):
+        elif any(self.tags[n] == tag for n in self._open):
             while True:
                 node = self._open.pop()
                 self._shut(node)
                 if self.tags[node] == tag:
                     break
 
-    def handle_data(self, data):
+    def add_text(self, text: str) -> None:
         if not (self._open and self.tags[self._open[-1]] in _NO_TEXT):
-            self._pending.append(data)
-
-    def handle_comment(self, data):
-        self._end_text()
+            self._pending.append(text)
 
     def all(self, *names: str, within: int | None = None) -> list[int]:
         """Elements carrying all of ``names`` (class names or ``<tag>``), in page order."""
@@ -106,6 +164,31 @@ class Page(HTMLParser):
         return sep.join(p for p in parts if p)
 
 
+class _Feeder(HTMLParser):
+    """The standard parser, for pages that are not regular."""
+
+    def __init__(self, page: Page):
+        super().__init__(convert_charrefs=True)
+        self.page = page
+
+    def handle_starttag(self, tag, attrs):
+        self.page.start(tag, dict(attrs))
+
+    def handle_startendtag(self, tag, attrs):
+        self.page.start(tag, dict(attrs))
+        if tag not in _VOID:
+            self.page.end(tag)
+
+    def handle_endtag(self, tag):
+        self.page.end(tag)
+
+    def handle_data(self, data):
+        self.page.add_text(data)
+
+    def handle_comment(self, data):
+        self.page.break_text()
+
+
 def card_text(html: str | None) -> dict | None:
     """One page as the raw card record; None for a page that cannot be read."""
     try:

@@ -115,7 +115,8 @@ def crawl_log(
 
 
 def append_log(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").partitionBy("run_id").parquet(path)
+    # few files per run, and a run with very many rows in several tasks
+    rows.hint("rebalance", F.col("run_id")).write.mode("append").partitionBy("run_id").parquet(path)
 
 
 def run_totals(log: DataFrame, expected: int) -> DataFrame:

@@ -110,15 +110,18 @@ def load_counts(merged: DataFrame) -> DataFrame:
     )
 
 
-def upsert_latest(state: DataFrame, batch: DataFrame, now) -> DataFrame:
+def upsert_latest(
+    state: DataFrame, batch: DataFrame, now, keys: list[str] | None = None
+) -> DataFrame:
     """Latest price per (spid, strong).
 
     Price, date and stamp change only when the price differs, so both dates mean
     "last change": the same price on a newer date leaves the row untouched.
     """
+    keys = keys or ["spid", "strong"]
     stamp = {"updated_at": batch_time(now)}
-    priced = batch.filter(F.col("price").isNotNull()).select("spid", "strong", "price", "price_date")
-    return upsert(state, priced, ["spid", "strong"], ["price"], on_insert=stamp, on_update=stamp)
+    priced = batch.filter(F.col("price").isNotNull()).select(*keys, "price", "price_date")
+    return upsert(state, priced, keys, ["price"], on_insert=stamp, on_update=stamp)
 
 
 def upsert_catalogue(state: DataFrame, batch: DataFrame) -> DataFrame:

@@ -41,6 +41,6 @@ def run_price_job(pages: DataFrame, root: str, as_of: Column, now, commit_id: st
         root,
         PRICE_LATEST,
         KEYS,
-        lambda state, batch: upsert_latest(state, batch, now),
+        lambda state, batch, keys: upsert_latest(state, batch, now, keys),
         commit_id=commit_id,
     )

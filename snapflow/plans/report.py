@@ -67,8 +67,9 @@ def changed_in_runs(players: DataFrame, log: DataFrame) -> DataFrame:
             "run_id", "since", "until",
             F.explode(F.expr(
                 "sequence(date_trunc('HOUR', since), date_trunc('HOUR', end), interval 1 hour)"
-            )).cast("timestamp_ntz").alias("hour"),
+            )).alias("hour"),
         )
+        .withColumn("hour", F.col("hour").cast("timestamp_ntz"))
     )
     cards = players.withColumn("hour", F.date_trunc("HOUR", "updated_at").cast("timestamp_ntz"))
     inside = (

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.functions.series import back_date, latest_point, recent, series_points, zip_points
+from snapflow.functions.series import back_date, latest_point, recent, with_series, zip_points
 from snapflow.operators.extract import price_series
 from snapflow.operators.latest import latest_per_key
 from snapflow.operators.upsert import ACTION, changes, classify, load_counts, upsert_latest
@@ -154,7 +154,7 @@ def snapshot_upsert(spark, sf_dir):
     for rows, now in ((old.drop("updated_at"), FIRST), (new, SECOND)):
         snapshots.commit(
             rows, root, PRICE_LATEST, KEYS,
-            lambda state, batch, now=now: upsert_latest(state, batch, now), buckets=16,
+            lambda state, batch, keys, now=now: upsert_latest(state, batch, now, keys), buckets=16,
         )
     return _plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))
 
@@ -254,10 +254,9 @@ FROM orders_p p LEFT JOIN (SELECT * FROM usable WHERE n_points > 0) u ON u.spid
 def series_shape(spark, sf_dir):
     """Per page: labels paired, first date and last price, pages without points included."""
     pages = with_page_keys(price_pages(spark, sf_dir))
-    pts = series_points(F.col("html"), F.date_sub(F.lit(AS_OF), 1))
     found = F.size("pts") > 0
     days = F.datediff(F.date_sub(F.lit(AS_OF), 1), F.get("pts", F.lit(0))["date"]) + 1
-    return pages.select("spid", "strong", pts.alias("pts")).select(
+    return with_series(pages, "html", F.date_sub(F.lit(AS_OF), 1), name="pts").select(
         "spid",
         F.col("strong").cast("int").alias("strong"),
         F.when(found, days).otherwise(0).cast("bigint").alias("labels"),
@@ -277,9 +276,9 @@ FROM r WHERE i >= len - 4
 def paired_series(spark, sf_dir):
     """Back-dating, pairing up to the shorter list and the last four points, on arrays."""
     key = F.col("c_custkey")
-    labels = F.sequence(F.lit(1), key % 9 + 1)
+    n = (key % 9 + 1).cast("int")
     values = F.transform(F.sequence(F.lit(0), key % 7), lambda i: key + i)
-    pts = recent(zip_points(back_date(labels, F.lit(dt.date(2024, 3, 1))), values), 4)
+    pts = recent(zip_points(back_date(n, F.lit(dt.date(2024, 3, 1))), values), 4)
     return table(spark, sf_dir, "customer").select(key.alias("spid"), F.inline(pts)).select(
         "spid", F.col("date").cast("string").alias("price_date"), "price"
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,17 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that later passes see the same rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def session_conf(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """SQL settings for the actions run inside the block; dots are written as ``__``."""
+    settings = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

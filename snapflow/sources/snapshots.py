@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.operators.upsert import ACTION, changes
+from snapflow.session import session_conf
 
 BUCKET = "bucket"
 _MANIFEST = "bucket int, data_version int, commit_id string, buckets int, v int"
@@ -65,13 +66,14 @@ def commit(
     root: str,
     schema: str,
     keys: list[str],
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame],
     buckets: int = 64,
     commit_id: str | None = None,
 ) -> int:
     """Merge a batch into the table and return the version that holds it.
 
-    ``merge(state, batch)`` is an upsert. The bucket count is fixed by the first
+    ``merge(state, batch, keys)`` is an upsert; its keys include the bucket, so
+    that one shuffle of each side by bucket serves the join and the layout. The bucket count is fixed by the first
     commit. A ``commit_id`` seen in the newest manifest is a replay and changes
     nothing. One writer at a time.
     """
@@ -83,23 +85,19 @@ def commit(
     if current:
         buckets = current[0].buckets
 
-    batch = batch.persist()
+    bucket = bucket_of(keys, buckets)
+    batch = batch.withColumn(BUCKET, bucket).persist()
     try:
         # at most one row per bucket reaches the driver
-        hit = {
-            r[0] for r in batch.select(bucket_of(keys, buckets).alias(BUCKET)).distinct().collect()
-        }
+        hit = {r[0] for r in batch.select(BUCKET).distinct().collect()}
         if not hit:
             return version
         state = _read(spark, root, schema, [p for p in current if p.bucket in hit])
         version += 1
-        merged = merge(state, batch).withColumn(BUCKET, bucket_of(keys, buckets))
-        (
-            merged.repartition(BUCKET)
-            .write.mode("overwrite")
-            .partitionBy(BUCKET)
-            .parquet(f"{root}/data/v={version}")
-        )
+        state = state.withColumn(BUCKET, bucket)
+        merged = merge(state.repartition(BUCKET), batch.repartition(BUCKET), [BUCKET, *keys])
+        with session_conf(spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
+            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/data/v={version}")
     finally:
         batch.unpersist()
 

@@ -26,7 +26,7 @@ def upsert_stream(
     schema: str,
     keys: list[str],
     to_batch: Callable[[DataFrame], DataFrame],
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame],
     checkpoint: str,
     buckets: int = 64,
 ) -> StreamingQuery:
