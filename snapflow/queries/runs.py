@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.functions.scalars import from_naive_utc
+from snapflow.functions.scalars import default_run_id, from_naive_utc
 from snapflow.operators.latest import top_cards, top_cards_per_run, top_per_group
 from snapflow.operators.runlog import (
     append_log,
@@ -73,7 +73,7 @@ traits AS (
          min((created_at, event_id)) AS first_at
   FROM log WHERE has_traits GROUP BY run_id, k),
 seasons AS (
-  SELECT run_id, (created_at, event_id, 0) AS at, k AS season_id, 'S' || k || ' (Season)' AS class_name FROM log WHERE has_lists
+  SELECT run_id, (created_at, event_id, 0) AS spot, k AS season_id, 'S' || k || ' (Season)' AS class_name FROM log WHERE has_lists
   UNION ALL SELECT run_id, (created_at, event_id, 1), user_id, NULL FROM log WHERE has_lists),
 spids AS (
   SELECT run_id, user_id AS spid FROM log WHERE has_lists
@@ -109,12 +109,17 @@ def run_new_spids(spark, sf_dir):
     return spids.groupBy("run_id", "spid").agg(F.count(F.lit(1)).alias("mentions"))
 
 
-@query(f"WITH {LOG_SQL} SELECT run_id, phase, shard, failures, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS logged FROM log WHERE run_id = '2024010305'")
+@query(f"""
+WITH {LOG_SQL}
+SELECT left(run_id, 8) AS run_id, phase, shard, failures, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS logged
+FROM log WHERE left(run_id, 8) = '20240103'
+""")
 def run_log_of_one_run(spark, sf_dir):
     """Log appended to a partitioned table; one run reads its own partition."""
     path = work_dir(spark, "log")
-    append_log(run_log(spark, sf_dir).drop("event_id"), path)
-    rows = read_run_log(spark, path, "2024010305")
+    daily = run_log(spark, sf_dir).drop("event_id").withColumn("run_id", default_run_id(F.col("created_at")))
+    append_log(daily, path)
+    rows = read_run_log(spark, path, "20240103")
     return rows.select(
         "run_id", "phase", "shard", "failures", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("logged")
     )
@@ -226,8 +231,8 @@ def changed_cards_per_run(spark, sf_dir):
 SUMMARY_SQL = f"""{CHANGED_SQL},
 t AS (SELECT run_id, count(*) AS n, string_agg(name, ', ' ORDER BY first_at) FILTER (WHERE r <= 5) AS names
       FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY first_at) AS r FROM traits) GROUP BY run_id),
-s AS (SELECT run_id, count(*) AS n, string_agg(coalesce(class_name, '?'), ', ' ORDER BY at) FILTER (WHERE r <= 3) AS names
-      FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY at) AS r FROM seasons) GROUP BY run_id),
+s AS (SELECT run_id, count(*) AS n, string_agg(coalesce(class_name, '?'), ', ' ORDER BY spot) FILTER (WHERE r <= 3) AS names
+      FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY spot) AS r FROM seasons) GROUP BY run_id),
 k AS (SELECT run_id, count(*) AS n FROM spids GROUP BY run_id),
 fresh AS (SELECT run_id, label, row_number() OVER (PARTITION BY run_id ORDER BY main_ovr DESC NULLS LAST, spid) AS r
           FROM (SELECT DISTINCT run_id, spid FROM spids) JOIN labelled USING (spid)),
