@@ -2,80 +2,105 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.operators.shard import ordinal
 
 
-def first_seen(candidates: DataFrame, attrs: list[str], order: list[str]) -> DataFrame:
+def first_seen(
+    candidates: DataFrame, attrs: list[str], order: list[str], by: list[str] | None = None
+) -> DataFrame:
     """One row per name with the attributes of its first occurrence.
 
     Partial aggregation keeps one row per name and task, so a name on every
     third page costs no more than a rare one.
     """
     seen = F.struct(*order)
-    return candidates.groupBy("name").agg(
+    return candidates.groupBy(*(by or []), "name").agg(
         F.min(seen).alias("_seen"), *[F.min_by(a, seen).alias(a) for a in attrs]
     )
 
 
-def next_ids(rows: DataFrame, existing: DataFrame, *order: str, id_type: str = "int") -> DataFrame:
-    """Number new rows from the highest existing id on, in the order of ``order``."""
-    top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint"))
-    numbered = ordinal(rows, *order, name="_pos")
-    return numbered.withColumn("id", (top.scalar() + F.col("_pos") + 1).cast(id_type)).drop("_pos")
+def next_ids(
+    rows: DataFrame, existing: DataFrame, *order: str, by: str | None = None, id_type: str = "int"
+) -> DataFrame:
+    """Number new rows from the highest existing id on, in the order of ``order``.
+
+    With ``by``, each value of that column has an id space of its own; the
+    values must be few (they name dimensions).
+    """
+    highest = F.coalesce(F.max("id"), F.lit(0)).cast("bigint")
+    if by is None:
+        numbered = ordinal(rows, *order, name="_pos")
+        new_id = existing.agg(highest).scalar() + F.col("_pos") + 1
+        return numbered.withColumn("id", new_id.cast(id_type)).drop("_pos")
+    numbered = ordinal(rows, by, *order, name="_pos")
+    starts = numbered.groupBy(by).agg(F.min("_pos").alias("_start"))
+    tops = existing.groupBy(by).agg(highest.alias("_top"))
+    spaces = starts.join(tops, by, "left")
+    new_id = F.coalesce("_top", F.lit(0)) + F.col("_pos") - F.col("_start") + 1
+    return (
+        numbered.join(spaces, by).withColumn("id", new_id.cast(id_type)).drop("_pos", "_start", "_top")
+    )
 
 
 def created_members(
-    dim: DataFrame, candidates: DataFrame, attrs: list[str], order: list[str]
+    dim: DataFrame, candidates: DataFrame, attrs: list[str], order: list[str], by: str | None = None
 ) -> DataFrame:
     """Rows to add for names the dimension does not hold; ids follow first occurrence."""
-    new = first_seen(candidates, attrs, order).join(dim.select("name"), "name", "left_anti")
+    space = [by] if by else []
+    seen = first_seen(candidates, attrs, order, space)
+    new = seen.join(dim.select(*space, "name"), [*space, "name"], "left_anti")
     id_type = dict(dim.dtypes)["id"]
-    return next_ids(new, dim, "_seen", "name", id_type=id_type).select("id", "name", *attrs)
+    numbered = next_ids(new, dim, "_seen", "name", by=by, id_type=id_type)
+    return numbered.select(*space, "id", "name", *attrs)
 
 
 def get_or_create(
-    dim: DataFrame, candidates: DataFrame, attrs: list[str], order: list[str]
+    dim: DataFrame, candidates: DataFrame, attrs: list[str], order: list[str], by: str | None = None
 ) -> DataFrame:
-    """The dimension with every candidate name: known ids and attributes never change."""
-    return dim.select("id", "name", *attrs).unionByName(
-        created_members(dim, candidates, attrs, order)
+    """The dimension with every candidate name: known ids and attributes never change.
+
+    ``by`` keeps several dimensions in one table, each with its own ids.
+    """
+    space = [by] if by else []
+    return dim.select(*space, "id", "name", *attrs).unionByName(
+        created_members(dim, candidates, attrs, order, by)
     )
 
 
-def resolve_ids(cards: DataFrame, key: str, lists: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+def resolve_ids(
+    cards: DataFrame, key: str, lists: dict[str, tuple[str, str]], members: DataFrame
+) -> DataFrame:
     """Per card, the ids of each list of names, in list order.
 
-    ``lists`` maps an output column to (array<string> column, dimension). All
-    lists travel through one join and one regrouping on the card key. Cards
-    come back as (key, output columns); a card without names has empty lists.
+    ``lists`` maps an output column to (array<string> column, dimension);
+    ``members`` holds (dim, name, id). All lists travel through one join and one
+    regrouping on the card key. Cards come back as (key, output columns); a card
+    without names has empty lists.
     """
 
-    def tagged(out: str, src: str):
+    def tagged(out: str, src: str, dim: str):
         names = F.coalesce(F.col(src), F.array().cast("array<string>"))
         return F.transform(
-            names, lambda n, i: F.struct(F.lit(out).alias("dim"), i.alias("pos"), n.alias("name"))
+            names,
+            lambda n, i: F.struct(
+                F.lit(out).alias("out"), F.lit(dim).alias("dim"), i.alias("pos"), n.alias("name")
+            ),
         )
 
-    all_names = F.concat(*[tagged(out, src) for out, (src, _) in lists.items()])
+    all_names = F.concat(*[tagged(out, src, dim) for out, (src, dim) in lists.items()])
     # an outer generator keeps cards without any name
     names = cards.select(key, F.explode_outer(all_names).alias("m")).select(key, "m.*")
-    members = reduce(
-        DataFrame.unionByName,
-        [d.select(F.lit(out).alias("dim"), "name", "id") for out, (_, d) in lists.items()],
-    )
 
     def ordered_ids(out: str):
         # bounded by the names on one card
-        pairs = F.collect_list(F.when(F.col("dim") == out, F.struct("pos", "id")))
+        pairs = F.collect_list(F.when(F.col("out") == out, F.struct("pos", "id")))
         return F.transform(F.sort_array(pairs), lambda p: p["id"]).alias(out)
 
     return (
-        names.join(members, ["dim", "name"], "left")
+        names.join(members.select("dim", "name", "id"), ["dim", "name"], "left")
         .groupBy(key)
         .agg(*[ordered_ids(out) for out in lists])
     )

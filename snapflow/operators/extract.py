@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from snapflow.functions import text as tx
 from snapflow.functions.scalars import main_sub, names_of, series_end
-from snapflow.functions.series import latest_point, with_series
+from snapflow.functions.series import with_series
 from snapflow.operators.page_text import card_text
 from snapflow.schemas import RAW_CARD, STAT_COLUMNS
 from snapflow.sources.readers import with_page_keys
@@ -106,8 +106,9 @@ def extract_cards(pages: DataFrame) -> DataFrame:
     nation = raw["nation_name"]
 
     def stat(name: str) -> Column:
-        at = F.nullif(F.array_position("_names", name), F.lit(0))
-        return F.try_element_at(F.col("_stats"), at.cast("int"))["value"].alias(name)
+        return F.expr(
+            f"try_element_at(_stats, cast(nullif(array_position(_names, '{name}'), 0) as int)).value AS {name}"
+        )
 
     return staged.select(
         "page_id",
@@ -147,12 +148,11 @@ def price_series(pages: DataFrame, as_of: Column, n: int | None = None) -> DataF
 
 def latest_prices(pages: DataFrame, as_of: Column) -> DataFrame:
     """Latest point of each price page; pages without one are left out. No shuffle."""
+    # a generator drops empty series by itself; a filter on the last point would be
+    # pushed down and parse every page twice
     points = with_series(with_page_keys(pages), "html", series_end(as_of), 1)
     return (
-        points.select("page_id", "spid", "strong", latest_point(F.col("points")).alias("p"))
-        .select(
-            "page_id", "spid", "strong",
-            F.col("p.price").alias("price"), F.col("p.date").alias("price_date"),
-        )
+        points.select("page_id", "spid", "strong", F.inline("points"))
         .filter(F.col("price").isNotNull())
+        .select("page_id", "spid", "strong", "price", F.col("date").alias("price_date"))
     )

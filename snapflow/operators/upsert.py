@@ -26,8 +26,8 @@ def _new(name: str) -> Column:
 
 def _side(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     # the literal marks presence: a null value does not mean a missing row
-    rest = [F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in keys]
-    return df.select(*keys, *rest, F.lit(True).alias(f"{prefix}_here"))
+    rest = [f"`{c}` AS `{prefix}{c}`" for c in df.columns if c not in keys]
+    return df.selectExpr(*keys, *rest, f"true AS `{prefix}_here`")
 
 
 def _match(state: DataFrame, batch: DataFrame, keys: list[str], compare: list[str], how: str) -> DataFrame:
@@ -77,7 +77,13 @@ def upsert(
     def resolve(v: Value) -> Column:
         return v if isinstance(v, Column) else v(_old, _new)
 
-    def column(name: str) -> Column:
+    def column(name: str) -> Column | str:
+        kept, taken = f"`_old_{name}`", f"`_new_{name}`"
+        dtype = types[name].simpleString()
+        if name not in on_insert and name not in on_update:
+            if name not in write:
+                return f"{kept} AS `{name}`"
+            return f"CAST(IF({ACTION} IN ('{INSERT}', '{UPDATE}'), {taken}, {kept}) AS {dtype}) AS `{name}`"
         inserted = on_insert.get(name, _new(name) if name in write else F.lit(None))
         updated = on_update.get(name, _new(name) if name in write else _old(name))
         return (
@@ -90,7 +96,8 @@ def upsert(
 
     types = {f.name: f.dataType for f in state.schema}
     matched = _match(state, batch, keys, compare, "full_outer")
-    return matched.select(*[c if c in keys else column(c) for c in state.columns], ACTION)
+    built = [c if c in keys else column(c) for c in types]
+    return matched.select(*[F.expr(c) if isinstance(c, str) else c for c in built], ACTION)
 
 
 def new_state(merged: DataFrame) -> DataFrame:
@@ -142,6 +149,10 @@ def apply_card_changes(players: DataFrame, cards: DataFrame, now) -> DataFrame:
     non-zero difference; otherwise the two rating columns keep their values.
     """
     at = batch_time(now, "timestamp_ntz")
+    # a surrogate id is given once
+    on_insert = {"created_at": at, "updated_at": at}
+    if "id" in cards.columns:
+        on_insert["id"] = lambda old, new: new("id")
 
     def moved(value):
         return lambda old, new: F.when(
@@ -156,7 +167,8 @@ def apply_card_changes(players: DataFrame, cards: DataFrame, now) -> DataFrame:
         cards,
         ["spid"],
         ["content_hash"],
-        on_insert={"created_at": at, "updated_at": at},
+        on_insert=on_insert,
+        write=[c for c in cards.columns if c not in ("spid", "id")],
         on_update={
             "updated_at": at,
             "ovr_change": or_old("ovr_change", lambda o, n: rating_delta(n("main_ovr"), o("main_ovr"))),

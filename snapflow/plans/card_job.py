@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.hashing import content_hash
@@ -12,75 +12,97 @@ from snapflow.operators.dims import get_or_create, new_members, next_ids, resolv
 from snapflow.operators.extract import extract_cards, split_valid
 from snapflow.operators.runlog import crawl_log, shard_counts
 from snapflow.operators.shard import with_shard
-from snapflow.operators.upsert import ACTION, apply_card_changes, mark_done
+from snapflow.operators.upsert import apply_card_changes, mark_done
 from snapflow.schemas import STAT_COLUMNS
 from snapflow.session import cut
 
-
-@dataclass
-class Dimensions:
-    nations: DataFrame
-    traits: DataFrame
-    team_colors: DataFrame
+NATION, TRAIT, TEAM_COLOR = "nation", "trait", "team_color"
 
 
 @dataclass
 class CardRun:
-    players: DataFrame       # state after the run, with the action per card
-    dimensions: Dimensions   # members after the run
-    rejects: DataFrame       # pages without a usable card, with the reason
-    spid: DataFrame          # catalogue with processed cards marked done
-    log: DataFrame           # one row per shard
-
-
-def dimension_candidates(cards: DataFrame) -> Dimensions:
-    """Names met on the cards with their attributes and place (page, position)."""
-    nations = cards.filter(F.col("nation_name").isNotNull()).select(
-        F.col("nation_name").alias("name"),
-        F.col("nation_image").alias("image_url"),
-        "page_id",
-        F.lit(0).alias("pos"),
-    )
-    traits = cards.select("page_id", F.posexplode("traits").alias("pos", "m")).select(
-        "m.name", "m.image_url", "page_id", "pos"
+    players: DataFrame   # state after the run, with the action per card
+    members: DataFrame   # dimension members after the run
+    rejects: DataFrame   # pages without a usable card, with the reason
+    spid: DataFrame      # catalogue with processed cards marked done
+    log: DataFrame       # one row per shard
+
+
+def as_members(nations: DataFrame, traits: DataFrame, team_colors: DataFrame) -> DataFrame:
+    """The three dimensions as one table (dim, id, name, attribute), ids apart per dimension."""
+
+    def tag(df: DataFrame, dim: str, attribute: str) -> DataFrame:
+        return df.select(
+            F.lit(dim).alias("dim"), "id", "name", F.col(attribute).alias("attribute")
+        )
+
+    return (
+        tag(nations, NATION, "image_url")
+        .unionByName(tag(traits, TRAIT, "image_url"))
+        .unionByName(tag(team_colors, TEAM_COLOR, "team_color_type"))
     )
-    colors = cards.select("page_id", F.posexplode("team_colors").alias("pos", "m")).select(
-        "m.name", F.col("m.type").alias("team_color_type"), "page_id", "pos"
+
+
+def dimension(members: DataFrame, dim: str) -> DataFrame:
+    """One dimension in its own layout."""
+    attribute = "team_color_type" if dim == TEAM_COLOR else "image_url"
+    return members.filter(F.col("dim") == dim).select(
+        "id", "name", F.col("attribute").alias(attribute)
     )
-    return Dimensions(nations, traits, colors)
 
 
-def grow_dimensions(dims: Dimensions, cards: DataFrame) -> Dimensions:
-    """Each dimension with the new names of the cards; names alone identify members."""
-    met = dimension_candidates(cards)
-    order = ["page_id", "pos"]
-    return Dimensions(
-        get_or_create(dims.nations, met.nations, ["image_url"], order),
-        get_or_create(dims.traits, met.traits, ["image_url"], order),
-        get_or_create(dims.team_colors, met.team_colors, ["team_color_type"], order),
+def member_candidates(cards: DataFrame) -> DataFrame:
+    """Names met on the cards: dimension, attribute and place (page, position).
+
+    A team colour is known by its name only; its kind is an attribute.
+    """
+
+    def listed(items: str, dim: str, attribute: str) -> Column:
+        return F.transform(
+            items,
+            lambda m, i: F.struct(
+                F.lit(dim).alias("dim"), m["name"].alias("name"),
+                m[attribute].alias("attribute"), i.alias("pos"),
+            ),
+        )
+
+    nation = F.array_compact(F.array(F.when(
+        F.col("nation_name").isNotNull(),
+        F.struct(
+            F.lit(NATION).alias("dim"), F.col("nation_name").alias("name"),
+            F.col("nation_image").alias("attribute"), F.lit(0).alias("pos"),
+        ),
+    )))
+    met = F.concat(
+        nation, listed("traits", TRAIT, "image_url"), listed("team_colors", TEAM_COLOR, "type")
     )
+    return cards.select("page_id", F.inline(met))
+
+
+def names_of_members(cards: DataFrame) -> DataFrame:
+    """Cards with the names of their traits and team colours as lists."""
+    return cards.withColumns({
+        "trait_names": F.transform("traits", lambda t: t["name"]),
+        "team_color_names": F.transform("team_colors", lambda t: t["name"]),
+    })
 
 
-def with_ids(cards: DataFrame, dims: Dimensions) -> DataFrame:
+def with_ids(cards: DataFrame, members: DataFrame) -> DataFrame:
     """Cards with their dimension ids, in page order.
 
     All names travel in one join; the cards are joined back on the key the
     later change detection needs anyway.
     """
-    lists = cards.select(
-        "spid",
-        F.array_compact(F.array("nation_name")).alias("nations"),
-        F.transform("traits", lambda t: t["name"]).alias("traits"),
-        F.transform("team_colors", lambda t: t["name"]).alias("colors"),
-    )
+    lists = names_of_members(cards).withColumn("nations", F.array_compact(F.array("nation_name")))
     ids = resolve_ids(
-        lists,
+        lists.select("spid", "nations", "trait_names", "team_color_names"),
         "spid",
         {
-            "_nation": ("nations", dims.nations),
-            "trait_ids": ("traits", dims.traits),
-            "team_color_ids": ("colors", dims.team_colors),
+            "_nation": ("nations", NATION),
+            "trait_ids": ("trait_names", TRAIT),
+            "team_color_ids": ("team_color_names", TEAM_COLOR),
         },
+        members,
     )
     return (
         cards.join(ids, "spid")
@@ -93,31 +115,25 @@ def with_ids(cards: DataFrame, dims: Dimensions) -> DataFrame:
 
 def hashed_cards(cards: DataFrame, by_name: bool = False) -> DataFrame:
     """Cards in the layout of the players table, with their content hash."""
-    named = cards.withColumn("trait_names", F.transform("traits", lambda t: t["name"])).withColumn(
-        "team_color_names", F.transform("team_colors", lambda t: t["name"])
-    )
-    return named.withColumn("content_hash", content_hash(by_name=by_name)).select(
+    hashed = names_of_members(cards).withColumn("content_hash", content_hash(by_name=by_name))
+    return hashed.select(
         "spid", "name", "season_id", "nation_id", "main_position", "sub_positions", "main_ovr",
         "pay", "height", "weight", "body_type", "skill_moves", "weak_foot", "preferred_foot",
         "trait_ids", "team_color_ids", "content_hash", *STAT_COLUMNS,
     )
 
 
-def with_new_ids(merged: DataFrame) -> DataFrame:
-    """Surrogate ids for inserted cards, in key order after the highest id in use."""
-    fresh = next_ids(
-        merged.filter(F.col(ACTION) == "insert").select("spid"), merged.select("id"), "spid",
-        id_type="bigint",
-    ).withColumnRenamed("id", "_id")
-    joined = merged.join(fresh, "spid", "left")
-    return joined.withColumn("id", F.coalesce("id", "_id")).select(*merged.columns)
+def with_surrogate_ids(cards: DataFrame, players: DataFrame) -> DataFrame:
+    """Ids for cards the table does not hold, in key order after the highest id in use."""
+    new = cards.select("spid").join(players.select("spid"), "spid", "left_anti")
+    return cards.join(next_ids(new, players, "spid", id_type="bigint"), "spid", "left")
 
 
 def run_card_job(
     pages: DataFrame,
     players: DataFrame,
     spid: DataFrame,
-    dims: Dimensions,
+    members: DataFrame,
     run_id: str,
     now,
     shards: int = 1,
@@ -127,30 +143,30 @@ def run_card_job(
     A bad page becomes a reject and its card stays undone; all others are marked
     done whether they changed or not.
     """
-    # parsed once: the records feed three dimensions, the write, and the log
+    # parsed once: the records feed the dimensions, the write and the log
     records = cut(extract_cards(pages))
     valid, rejects = split_valid(records)
     shard_of = with_shard(records.select("spid").distinct(), "spid", shards)
 
-    grown = grow_dimensions(dims, valid)
-    grown = Dimensions(*[cut(d) for d in (grown.nations, grown.traits, grown.team_colors)])
-    resolved = with_ids(valid, grown)
-    merged = cut(with_new_ids(apply_card_changes(players, hashed_cards(resolved), now)))
-
-    used = valid.join(shard_of, "spid").select(
-        "shard", "page_id", F.posexplode("traits").alias("pos", "t")
-    ).select("shard", "page_id", "pos", F.col("t.name").alias("name"))
-    used = used.join(grown.traits.select("name", "id"), "name")
-    fresh = new_members(
-        used.select("id", "name", F.struct("shard").alias("s"), "page_id", "pos"),
-        dims.traits, ["page_id", "pos"],
+    grown = get_or_create(
+        members, member_candidates(valid), ["attribute"], ["page_id", "pos"], by="dim"
+    )
+    cards = with_surrogate_ids(hashed_cards(with_ids(valid, grown)), players)
+    merged = cut(apply_card_changes(players, cards, now))
+
+    used = (
+        valid.join(shard_of, "spid")
+        .select("shard", "page_id", F.posexplode("traits").alias("pos", "t"))
+        .select("shard", "page_id", "pos", F.col("t.name").alias("name"))
+        .join(dimension(grown, TRAIT).select("name", "id"), "name")
     )
-    by_shard = used.select("shard", "id").distinct().join(fresh, "id").select("shard", "id", "name")
+    fresh = new_members(used, dimension(members, TRAIT), ["page_id", "pos"])
+    by_shard = used.select("shard", "id").distinct().join(fresh, "id")
 
     counts = shard_counts(merged.join(shard_of, "spid"), rejects.join(shard_of, "spid", "left"))
     return CardRun(
         players=merged,
-        dimensions=grown,
+        members=grown,
         rejects=rejects,
         spid=mark_done(spid, valid.select("spid"), now),
         log=crawl_log(counts, by_shard, run_id, now, shards),

@@ -12,8 +12,8 @@ from snapflow.operators.extract import extract_cards, split_valid
 from snapflow.operators.runlog import shard_counts
 from snapflow.operators.shard import with_shard
 from snapflow.operators.upsert import ACTION, apply_card_changes, classify
-from snapflow.plans.card_job import Dimensions, dimension_candidates, hashed_cards, run_card_job
-from snapflow.queries.registry import query, table
+from snapflow.plans.card_job import TRAIT, as_members, dimension, member_candidates, run_card_job
+from snapflow.queries.registry import query, spread, table
 from snapflow.schemas import NATIONS, PLAYERS, SPID, STAT_COLUMNS, STAT_LABELS, TEAM_COLORS, TRAITS
 from snapflow.sources.readers import existing_state
 
@@ -119,7 +119,7 @@ def card_pages(spark, sf_dir, size: Column | None = None) -> DataFrame:
         "</ul></div></body></html>",
     )
     url = _text("https://cards.example.com/ability?spid=", card_key(key), "&n1Strong=1")
-    return table(spark, sf_dir, "part").select(
+    return spread(table(spark, sf_dir, "part"), "p_partkey").select(
         key.alias("page_id"), url.alias("url"), html.alias("html")
     )
 
@@ -173,10 +173,10 @@ WHERE rn = 1
 def card_trait_names(spark, sf_dir):
     """Trait names met on the cards with the image of their first use."""
     cards, _ = split_valid(extract_cards(card_pages(spark, sf_dir)))
-    met = dimension_candidates(cards).traits
+    met = member_candidates(cards).filter(F.col("dim") == TRAIT)
     at = F.struct("page_id", "pos")
     return met.groupBy("name").agg(
-        F.min_by("image_url", at).alias("image_url"), F.count(F.lit(1)).alias("uses")
+        F.min_by("attribute", at).alias("image_url"), F.count(F.lit(1)).alias("uses")
     )
 
 
@@ -337,7 +337,7 @@ acted AS (
 
 def _card_run(spark, sf_dir):
     """Pages applied to the cards of an earlier run over nine tenths of them."""
-    empty = Dimensions(*[spark.createDataFrame([], s) for s in (NATIONS, TRAITS, TEAM_COLORS)])
+    empty = as_members(*[spark.createDataFrame([], s) for s in (NATIONS, TRAITS, TEAM_COLORS)])
     no_players = spark.createDataFrame([], PLAYERS)
     catalogue = table(spark, sf_dir, "part").select(
         card_key(F.col("p_partkey")).alias("spid"), F.col("p_name").alias("name"),
@@ -347,7 +347,7 @@ def _card_run(spark, sf_dir):
     earlier = card_pages(spark, sf_dir, size).filter(F.col("page_id") % 10 != 9)
     first = run_card_job(earlier, no_players, catalogue, empty, "20240101", CREATED, shards=4)
     return run_card_job(
-        card_pages(spark, sf_dir), first.players.drop(ACTION), catalogue, first.dimensions,
+        card_pages(spark, sf_dir), first.players.drop(ACTION), catalogue, first.members,
         "20240108", NOW, shards=4,
     )
 

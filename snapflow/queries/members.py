@@ -83,7 +83,8 @@ def resolve_link_ids(spark, sf_dir):
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     dim = ranked.join(F.broadcast(offsets), "_p").select("name", (F.col("_r") + F.col("_o")).alias("id"))
     lists = links.withColumn("first", F.slice("names", 1, 1))
-    ids = resolve_ids(lists, "page_id", {"ids": ("names", dim), "first_ids": ("first", dim)})
+    wanted = {"ids": ("names", "link"), "first_ids": ("first", "link")}
+    ids = resolve_ids(lists, "page_id", wanted, dim.withColumn("dim", F.lit("link")))
     return ids.select(
         "page_id", F.array_join(F.col("ids").cast("array<string>"), ",").alias("link_ids"),
         F.coalesce(F.try_element_at("first_ids", F.lit(1)), F.lit(0)).alias("first_id"),

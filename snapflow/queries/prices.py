@@ -12,7 +12,7 @@ from snapflow.operators.extract import price_series
 from snapflow.operators.latest import latest_per_key
 from snapflow.operators.upsert import ACTION, changes, classify, load_counts, upsert_latest
 from snapflow.plans.price_job import KEYS, price_batch
-from snapflow.queries.registry import query, table
+from snapflow.queries.registry import query, spread, table
 from snapflow.schemas import PRICE_LATEST
 from snapflow.session import work_dir
 from snapflow.sources import snapshots
@@ -190,7 +190,7 @@ series AS (
 
 
 def price_pages(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     key = F.col("o_orderkey")
     n_times = key % 6 + 1
     n_values = F.when(key % 5 == 0, key % 6).otherwise(key % 6 + 1)

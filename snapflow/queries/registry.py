@@ -24,3 +24,12 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread by key before wide pages are built from them and parsed.
+
+    The narrow rows are what is shuffled; a table read as one split would
+    otherwise be parsed by one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
