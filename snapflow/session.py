@@ -57,9 +57,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that later passes see the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once to the shared folder, so that later passes see the same rows.
+
+    A columnar table rather than an RDD checkpoint: each later pass reads only
+    the columns it needs.
+    """
+    path = work_dir(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
