@@ -23,51 +23,58 @@ def first_seen(
 
 
 def next_ids(
-    rows: DataFrame, existing: DataFrame, *order: str, by: str | None = None, id_type: str = "int"
+    rows: DataFrame,
+    existing: DataFrame,
+    *order: str,
+    by: str | None = None,
+    spaces: tuple[str, ...] = (),
+    id_type: str = "int",
 ) -> DataFrame:
     """Number new rows from the highest existing id on, in the order of ``order``.
 
-    With ``by``, each value of that column has an id space of its own; the
-    values must be few (they name dimensions).
+    With ``by``, each of the values ``spaces`` of that column has its own ids;
+    rows with any other value are not numbered and left out.
     """
     highest = F.coalesce(F.max("id"), F.lit(0)).cast("bigint")
     if by is None:
         numbered = ordinal(rows, *order, name="_pos")
         new_id = existing.agg(highest).scalar() + F.col("_pos") + 1
         return numbered.withColumn("id", new_id.cast(id_type)).drop("_pos")
-    numbered = ordinal(rows, by, *order, name="_pos")
+    numbered = ordinal(rows.filter(F.col(by).isin(*spaces)), by, *order, name="_pos")
+    # one row per space, so safe to broadcast; a join on so few keys would put
+    # every row of a space into one task
     starts = numbered.groupBy(by).agg(F.min("_pos").alias("_start"))
-    tops = existing.groupBy(by).agg(highest.alias("_top"))
-    spaces = starts.join(tops, by, "left")
+    tops = existing.filter(F.col(by).isin(*spaces)).groupBy(by).agg(highest.alias("_top"))
+    base = F.broadcast(starts.join(tops, by, "left"))
     new_id = F.coalesce("_top", F.lit(0)) + F.col("_pos") - F.col("_start") + 1
     return (
-        numbered.join(spaces, by).withColumn("id", new_id.cast(id_type)).drop("_pos", "_start", "_top")
+        numbered.join(base, by).withColumn("id", new_id.cast(id_type)).drop("_pos", "_start", "_top")
     )
 
 
 def created_members(
-    dim: DataFrame, candidates: DataFrame, attrs: list[str], order: list[str], by: str | None = None
+    dim: DataFrame,
+    candidates: DataFrame,
+    attrs: list[str],
+    order: list[str],
+    by: str | None = None,
+    spaces: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rows to add for names the dimension does not hold; ids follow first occurrence."""
     space = [by] if by else []
     seen = first_seen(candidates, attrs, order, space)
     new = seen.join(dim.select(*space, "name"), [*space, "name"], "left_anti")
     id_type = dict(dim.dtypes)["id"]
-    numbered = next_ids(new, dim, "_seen", "name", by=by, id_type=id_type)
+    numbered = next_ids(new, dim, "_seen", "name", by=by, spaces=spaces, id_type=id_type)
     return numbered.select(*space, "id", "name", *attrs)
 
 
 def get_or_create(
-    dim: DataFrame, candidates: DataFrame, attrs: list[str], order: list[str], by: str | None = None
+    dim: DataFrame, candidates: DataFrame, attrs: list[str], order: list[str]
 ) -> DataFrame:
-    """The dimension with every candidate name: known ids and attributes never change.
-
-    ``by`` keeps several dimensions in one table, each with its own ids.
-    """
-    space = [by] if by else []
-    return dim.select(*space, "id", "name", *attrs).unionByName(
-        created_members(dim, candidates, attrs, order, by)
-    )
+    """The dimension with every candidate name: known ids and attributes never change."""
+    created = created_members(dim, candidates, attrs, order)
+    return dim.select("id", "name", *attrs).unionByName(created)
 
 
 def resolve_ids(

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import batch_time, json_rows, or_zero, to_json_list, to_naive_utc
-from snapflow.operators.upsert import ACTION, INSERT, UPDATE, changes
+from snapflow.operators.upsert import ACTION, INSERT, UPDATE
 from snapflow.schemas import LOG_SEASONS, LOG_SPIDS, LOG_TRAITS, RUN_LOG
+from snapflow.session import cut
 
 SYNC, CRAWL = "sync", "crawl"
 _LIST_ITEMS = 10_000  # most items aimed at per logged list
@@ -37,8 +38,12 @@ def sync_log(
     over rows by key hash, so no single list holds them all. Readers concatenate
     the lists of all sync rows of a run.
     """
-    new_spids = changes(catalogue).filter(F.col(ACTION) == INSERT).select("spid")
-    new_seasons = changes(seasons).filter(F.col(ACTION) == INSERT).select("season_id", "class_name")
+    def inserted(merged: DataFrame, *cols: str) -> DataFrame:
+        # counted and listed below, so the upsert behind it runs once
+        return cut(merged.filter(F.col(ACTION) == INSERT).select(*cols))
+
+    new_spids = inserted(catalogue, "spid")
+    new_seasons = inserted(seasons, "season_id", "class_name")
     total = F.greatest(
         new_spids.agg(F.count(F.lit(1))).scalar(), new_seasons.agg(F.count(F.lit(1))).scalar()
     )

@@ -142,12 +142,15 @@ def upsert_seasons(state: DataFrame, batch: DataFrame) -> DataFrame:
     return upsert(state, batch, ["season_id"], ["class_name", "season_img"])
 
 
-def apply_card_changes(players: DataFrame, cards: DataFrame, now) -> DataFrame:
+def apply_card_changes(
+    players: DataFrame, cards: DataFrame, now, keys: list[str] | None = None
+) -> DataFrame:
     """Write cards whose content hash is new or differs.
 
     A rating change is recorded only on an update with a known old rating and a
     non-zero difference; otherwise the two rating columns keep their values.
     """
+    keys = keys or ["spid"]
     at = batch_time(now, "timestamp_ntz")
     # a surrogate id is given once
     on_insert = {"created_at": at, "updated_at": at}
@@ -165,10 +168,10 @@ def apply_card_changes(players: DataFrame, cards: DataFrame, now) -> DataFrame:
     return upsert(
         players,
         cards,
-        ["spid"],
+        keys,
         ["content_hash"],
         on_insert=on_insert,
-        write=[c for c in cards.columns if c not in ("spid", "id")],
+        write=[c for c in cards.columns if c not in keys and c != "id"],
         on_update={
             "updated_at": at,
             "ovr_change": or_old("ovr_change", lambda o, n: rating_delta(n("main_ovr"), o("main_ovr"))),

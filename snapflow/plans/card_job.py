@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.hashing import content_hash
-from snapflow.operators.dims import get_or_create, new_members, next_ids, resolve_ids
+from snapflow.operators.dims import created_members, next_ids, resolve_ids
 from snapflow.operators.extract import extract_cards, split_valid
 from snapflow.operators.runlog import crawl_log, shard_counts
 from snapflow.operators.shard import with_shard
 from snapflow.operators.upsert import apply_card_changes, mark_done
-from snapflow.schemas import STAT_COLUMNS
+from snapflow.schemas import PLAYERS, STAT_COLUMNS
 from snapflow.session import cut
+from snapflow.sources import snapshots
 
-NATION, TRAIT, TEAM_COLOR = "nation", "trait", "team_color"
+NATION, TRAIT, TEAM_COLOR = DIMENSIONS = ("nation", "trait", "team_color")
 
 
 @dataclass
@@ -129,6 +130,18 @@ def with_surrogate_ids(cards: DataFrame, players: DataFrame) -> DataFrame:
     return cards.join(next_ids(new, players, "spid", id_type="bigint"), "spid", "left")
 
 
+def commit_cards(
+    cards: DataFrame, root: str, now, buckets: int = 64, commit_id: str | None = None
+) -> int:
+    """Write hashed cards to the card snapshot under ``root``; only the buckets of these
+    cards are read and rewritten, so a run over few new cards stays small."""
+    return snapshots.commit(
+        cards, root, PLAYERS, ["spid"],
+        lambda state, batch, keys: apply_card_changes(state, batch, now, keys),
+        buckets, commit_id,
+    )
+
+
 def run_card_job(
     pages: DataFrame,
     players: DataFrame,
@@ -148,20 +161,21 @@ def run_card_job(
     valid, rejects = split_valid(records)
     shard_of = with_shard(records.select("spid").distinct(), "spid", shards)
 
-    grown = get_or_create(
-        members, member_candidates(valid), ["attribute"], ["page_id", "pos"], by="dim"
+    created = created_members(
+        members, member_candidates(valid), ["attribute"], ["page_id", "pos"],
+        by="dim", spaces=DIMENSIONS,
     )
+    grown = members.unionByName(created)
     cards = with_surrogate_ids(hashed_cards(with_ids(valid, grown)), players)
     merged = cut(apply_card_changes(players, cards, now))
 
+    # one row per shard and name before the join, however many cards share a trait
     used = (
         valid.join(shard_of, "spid")
-        .select("shard", "page_id", F.posexplode("traits").alias("pos", "t"))
-        .select("shard", "page_id", "pos", F.col("t.name").alias("name"))
-        .join(dimension(grown, TRAIT).select("name", "id"), "name")
+        .select("shard", F.explode(F.transform("traits", lambda t: t["name"])).alias("name"))
+        .distinct()
     )
-    fresh = new_members(used, dimension(members, TRAIT), ["page_id", "pos"])
-    by_shard = used.select("shard", "id").distinct().join(fresh, "id")
+    by_shard = used.join(dimension(created, TRAIT), "name").select("shard", "id", "name")
 
     counts = shard_counts(merged.join(shard_of, "spid"), rejects.join(shard_of, "spid", "left"))
     return CardRun(

@@ -50,12 +50,14 @@ def top_changed(players: DataFrame, seasons: DataFrame, log: DataFrame, n: int)
     return _labelled(top_cards(changed_since(players, since).filter(changed > 0), n), seasons)
 
 
-def changed_in_runs(players: DataFrame, log: DataFrame) -> DataFrame:
+def changed_in_runs(players: DataFrame, log: DataFrame, salts: int = 16) -> DataFrame:
     """(run_id, card) for each card the run changed, all runs at once.
 
     A card belongs to the last run started at or before its write. The runs are
     spread over the hours they cover, so the match is an equi-join on the hour,
-    with few candidates per card, and not a range join.
+    with few candidates per card, and not a range join. A full run writes all
+    its cards within an hour, so cards of one hour are salted over several tasks
+    and the few run rows repeated for each.
     """
     runs = ordinal(run_since(log), "since", "run_id", name="n")
     following = runs.select((F.col("n") - 1).alias("n"), F.col("since").alias("until"))
@@ -70,14 +72,18 @@ def changed_in_runs(players: DataFrame, log: DataFrame) -> DataFrame:
             )).alias("hour"),
         )
         .withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    cards = players.withColumn("hour", F.date_trunc("HOUR", "updated_at").cast("timestamp_ntz"))
+    cards = players.withColumn(
+        "hour", F.date_trunc("HOUR", "updated_at").cast("timestamp_ntz")
+    ).withColumn("salt", F.pmod(F.xxhash64("spid"), F.lit(salts)).cast("int"))
     inside = (
         (F.col("updated_at") >= F.col("since"))
         & (F.col("until").isNull() | (F.col("updated_at") < F.col("until")))
         & (F.col("created_at") < F.col("since"))
     )
-    return cards.join(windows, "hour").filter(inside).drop("hour", "until", "since")
+    matched = cards.join(windows, ["hour", "salt"]).filter(inside)
+    return matched.drop("hour", "salt", "until", "since")
 
 
 def _top_labels(cards: DataFrame, seasons: DataFrame, n: int, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.operators.upsert import ACTION, changes
+from snapflow.operators.upsert import ACTION, changes, load_counts
 from snapflow.session import session_conf
 
 BUCKET = "bucket"
@@ -61,6 +61,12 @@ def read_changes(spark: SparkSession, root: str, schema: str, version: int) -> D
     return changes(_read(spark, root, schema, parts, f", {ACTION} string"))
 
 
+def commit_counts(spark: SparkSession, root: str, schema: str, version: int) -> DataFrame:
+    """Rows attempted, inserted, updated and skipped by a commit, from its action column."""
+    parts = [p for p in manifest(spark, root, version) if p.data_version == version]
+    return load_counts(_read(spark, root, schema, parts, f", {ACTION} string").select(ACTION))
+
+
 def commit(
     batch: DataFrame,
     root: str,
