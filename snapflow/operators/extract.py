@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -13,16 +14,20 @@ from pyspark.sql.types import StructType
 from snapflow.functions import text as tx
 from snapflow.functions.scalars import main_sub, names_of, series_end
 from snapflow.functions.series import with_series
-from snapflow.operators.page_text import card_text
+from snapflow.operators import page_text
 from snapflow.schemas import RAW_CARD, STAT_COLUMNS
 from snapflow.sources.readers import with_page_keys
 
+# the parser travels with the task, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(page_text)
+
 
 def raw_card(html: Column) -> Column:
     """Raw card record of a page, Arrow batch by Arrow batch."""
 
     record = StructType.fromDDL(RAW_CARD)
     arrow_type = to_arrow_type(record)
+    card_text = page_text.card_text
 
     @F.arrow_udf(record)
     def parse(pages: pa.Array) -> pa.Array:
@@ -33,7 +38,7 @@ def raw_card(html: Column) -> Column:
 
 
 def nfkc(c: Column) -> Column:
-    """NFKC form, for columns that do not pass the page parser; use on distinct values."""
+    """NFKC form, which no built-in function gives, for text that does not pass the page parser."""
 
     @F.arrow_udf("string")
     def normalize(values: pa.Array) -> pa.Array:
@@ -46,12 +51,12 @@ def nfkc(c: Column) -> Column:
 
 
 def map_labels(df: DataFrame, label: str, name: str = "stat") -> DataFrame:
-    """Stat column of each label, null when unmapped; each distinct label is normalised once."""
-    mapped = (
-        df.select(label).distinct().withColumn(name, tx.stat_column(nfkc(F.col(label))))
-        .filter(F.col(name).isNotNull())
-    )
-    return df.join(mapped, label, "left")
+    """Stat column of each label, null when unmapped.
+
+    Row by row in Arrow batches: a join on distinct labels would send all rows
+    of a frequent label to one task.
+    """
+    return df.withColumn(name, tx.stat_column(nfkc(F.col(label))))
 
 
 def _reject_reason(raw: Column) -> Column:

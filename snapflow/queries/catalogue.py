@@ -21,6 +21,7 @@ from snapflow.operators.upsert import ACTION, changes, mark_done, upsert_catalog
 from snapflow.plans.price_job import work_list
 from snapflow.queries.registry import query, table
 from snapflow.session import work_dir
+from snapflow.streaming.ingest import pending_work
 from snapflow.sources.readers import (
     card_keys,
     read_card_catalogue,
@@ -102,6 +103,16 @@ def season_upsert(spark, sf_dir):
     return upsert_seasons(*_season_versions(spark, sf_dir))
 
 
+@query(f"""{CATALOGUE_SQL}
+SELECT count(*) FILTER (WHERE action = 'insert') AS gained,
+       count(*) FILTER (WHERE action = 'insert' OR NOT old_crawled) AS undone FROM m
+""")
+def card_stage_gate(spark, sf_dir):
+    """What the card stage would have to do after a catalogue run."""
+    merged = upsert_catalogue(*_catalogue(spark, sf_dir))
+    return pending_work(merged, merged.drop(ACTION))
+
+
 @query("""
 SELECT (SELECT count(*) FROM customer WHERE c_custkey % 10 = 9) AS new_spids,
        (SELECT count(*) FROM part WHERE p_partkey % 10 = 9) AS new_seasons

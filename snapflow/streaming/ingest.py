@@ -48,6 +48,12 @@ def upsert_stream(
     )
 
 
+def pending_work(catalogue: DataFrame, spid: DataFrame) -> DataFrame:
+    """Keys a catalogue run gained, and keys still undone; one row."""
+    gained = catalogue.agg(F.count_if(F.col(ACTION) == INSERT).alias("gained"))
+    return gained.withColumn("undone", spid.agg(F.count_if(~F.col("crawled"))).scalar())
+
+
 def needs_run(catalogue: DataFrame, spid: DataFrame) -> bool:
     """Whether the card stage has work: the catalogue gained keys or some are undone."""
     gained = catalogue.filter(F.col(ACTION) == INSERT).select("spid")

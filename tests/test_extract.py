@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from snapflow.operators.extract import extract_cards, split_valid
 from snapflow.operators.page_text import Page, card_text
-from snapflow.plans.card_job import as_members, dimension, run_card_job
+from snapflow.plans.card_job import (
+    as_members,
+    commit_cards,
+    dimension,
+    hashed_cards,
+    run_card_job,
+    with_ids,
+)
 from snapflow.plans.price_job import price_batch, run_price_job, work_list
 from snapflow.schemas import NATIONS, PAGES, PLAYERS, PRICE_LATEST, SPID, TEAM_COLORS, TRAITS
 from snapflow.sources.snapshots import read_changes, read_snapshot
@@ -137,7 +144,7 @@ def test_price_work_list(spark):
     assert [r.spid for r in price_batch(pages, F.lit(dt.date(2024, 1, 3)), work).collect()] == [5]
 
 
-def test_card_job_end_to_end(spark):
+def test_card_job_end_to_end(spark, tmp_path):
     def page(i, spid, ovr, traits="", colors=("", "")):
         html = NAME + POS.replace("120", str(ovr)) + f'<div class="skill_wrap">{traits}</div>' + "".join(
             f'<div class="{w}">{c}</div>' for w, c in zip(("tdefault_wrap", "tspecial_wrap"), colors)
@@ -172,6 +179,23 @@ def test_card_job_end_to_end(spark):
     log = {r.shard: (r.new_players, r.changed, r.failures, r.new_traits) for r in run.log.collect()}
     assert log[0] == (1, 0, 1, '[{"id":8,"name":"new"}]') and log[1] == (1, 0, 0, '[{"id":9,"name":"other"}]')
 
+    # hashed by name, a card's hash does not depend on how ids were handed out
+    shifted = run.members.withColumn("id", F.col("id") + 100)
+    valid, _ = split_valid(extract_cards(pages))
+
+    def hashes(members, by_name):
+        found = hashed_cards(with_ids(valid, members), by_name).select("spid", "content_hash")
+        return {tuple(r) for r in found.collect()}
+
+    assert hashes(run.members, True) == hashes(shifted, True)
+    assert not hashes(run.members, False) & hashes(shifted, False)
+
+    # written to a snapshot, the second run's unchanged card is not rewritten
+    root = str(tmp_path / "cards")
+    assert commit_cards(hashed_cards(with_ids(valid, run.members)), root, dt.datetime(2024, 1, 1)) == 1
+    assert commit_cards(hashed_cards(with_ids(valid, run.members)), root, dt.datetime(2024, 1, 2)) == 2
+    assert read_changes(spark, root, PLAYERS, 2).count() == 0
+
     # a later run: one rating up, one card only with its traits in another order
     later = spark.createDataFrame([
         page(1, 100000000, 103, trait("known") + trait("new"), (item, item)),
