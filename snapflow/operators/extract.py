@@ -145,19 +145,24 @@ def split_valid(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter(ok).drop("error"), records.filter(~ok)
 
 
+def _point_rows(pages: DataFrame, as_of: Column, n: int | None) -> DataFrame:
+    """One row (page_id, spid, strong, date, price) per point.
+
+    The outer generator matters: for an inner one, or for a filter on the
+    points, the optimizer adds a size test that it pushes down to the scan, and
+    every page would be parsed again for it.
+    """
+    points = with_series(with_page_keys(pages), "html", series_end(as_of), n)
+    rows = points.select("page_id", "spid", "strong", F.inline_outer("points"))
+    return rows.filter(F.col("date").isNotNull())
+
+
 def price_series(pages: DataFrame, as_of: Column, n: int | None = None) -> DataFrame:
     """Price history rows (spid, strong, date, price) of price pages read on ``as_of``."""
-    points = with_series(with_page_keys(pages), "html", series_end(as_of), n)
-    return points.select("spid", "strong", F.inline("points"))
+    return _point_rows(pages, as_of, n).select("spid", "strong", "date", "price")
 
 
 def latest_prices(pages: DataFrame, as_of: Column) -> DataFrame:
     """Latest point of each price page; pages without one are left out. No shuffle."""
-    # a generator drops empty series by itself; a filter on the last point would be
-    # pushed down and parse every page twice
-    points = with_series(with_page_keys(pages), "html", series_end(as_of), 1)
-    return (
-        points.select("page_id", "spid", "strong", F.inline("points"))
-        .filter(F.col("price").isNotNull())
-        .select("page_id", "spid", "strong", "price", F.col("date").alias("price_date"))
-    )
+    last = _point_rows(pages, as_of, 1).filter(F.col("price").isNotNull())
+    return last.select("page_id", "spid", "strong", "price", F.col("date").alias("price_date"))

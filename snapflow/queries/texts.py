@@ -135,7 +135,11 @@ def stat_labels(spark, sf_dir):
     return map_labels(docs, "label").select("doc_id", "stat")
 
 
-TITLE_SQL = "replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')"
+# the entities that occur in titles; the reader accepts them without the semicolon
+TITLE_SQL = (
+    "regexp_replace(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), "
+    "'&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
+)
 
 
 def _titled(spark, sf_dir):
