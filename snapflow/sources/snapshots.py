@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,10 +108,13 @@ def commit(
     finally:
         batch.unpersist()
 
-    rows = [(p.bucket, p.data_version) for p in current if p.bucket not in hit]
-    rows += [(b, version) for b in sorted(hit)]
+    holds = {p.bucket: p.data_version for p in current} | dict.fromkeys(hit, version)
+    listed = pa.table({
+        "bucket": pa.array(holds.keys(), pa.int32()),
+        "data_version": pa.array(holds.values(), pa.int32()),
+    })
     (
-        spark.createDataFrame(rows, "bucket int, data_version int")
+        spark.createDataFrame(listed)
         .withColumn("commit_id", F.lit(commit_id).cast("string"))
         .withColumn("buckets", F.lit(buckets))
         .coalesce(1)
