@@ -16,6 +16,7 @@ from snapflow.operators.upsert import apply_card_changes, mark_done
 from snapflow.schemas import PLAYERS, STAT_COLUMNS
 from snapflow.session import cut
 from snapflow.sources import snapshots
+from snapflow.sources.readers import with_page_keys
 
 NATION, TRAIT, TEAM_COLOR = DIMENSIONS = ("nation", "trait", "team_color")
 
@@ -142,6 +143,19 @@ def commit_cards(
     )
 
 
+def card_records(pages: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """Records of the landed pages; with targets, of those cards only, and a reject
+    for each target without a page."""
+    if targets is None:
+        return extract_cards(pages)
+    keyed = with_page_keys(pages)
+    records = extract_cards(keyed.join(targets.select("spid"), "spid", "left_semi"))
+    missing = targets.select("spid").join(keyed.select("spid"), "spid", "left_anti")
+    return records.unionByName(
+        missing.withColumn("error", F.lit("no page")), allowMissingColumns=True
+    )
+
+
 def run_card_job(
     pages: DataFrame,
     players: DataFrame,
@@ -150,6 +164,7 @@ def run_card_job(
     run_id: str,
     now,
     shards: int = 1,
+    targets: DataFrame | None = None,
 ) -> CardRun:
     """One run over the landed pages of the target cards, one page per card.
 
@@ -157,7 +172,7 @@ def run_card_job(
     done whether they changed or not.
     """
     # parsed once: the records feed the dimensions, the write and the log
-    records = cut(extract_cards(pages))
+    records = cut(card_records(pages, targets))
     valid, rejects = split_valid(records)
     shard_of = with_shard(records.select("spid").distinct(), "spid", shards)
 

@@ -18,6 +18,7 @@ from snapflow.operators.shard import (
     with_shard,
 )
 from snapflow.operators.upsert import ACTION, changes, mark_done, upsert_catalogue, upsert_seasons
+from snapflow.plans.catalogue_job import card_targets, run_catalogue_job
 from snapflow.plans.price_job import work_list
 from snapflow.queries.registry import query, table
 from snapflow.session import work_dir
@@ -123,6 +124,19 @@ def catalogue_run_counts(spark, sf_dir):
     )
 
 
+@query("""
+WITH m AS (
+  SELECT c_custkey AS spid, c_custkey % 10 = 9 AS inserted, c_custkey % 2 = 0 AS done FROM customer)
+SELECT spid FROM m WHERE inserted OR NOT done ORDER BY spid LIMIT 200
+""")
+def cards_to_run(spark, sf_dir):
+    """Catalogue job, then the leading undone keys as targets of the card job."""
+    state, batch = _catalogue(spark, sf_dir)
+    seasons, season_batch = _season_versions(spark, sf_dir)
+    run = run_catalogue_job(batch, season_batch, state, seasons, "20240108", NOW)
+    return card_targets(run.spid, only_new=True, limit=200)
+
+
 @query("SELECT '20240108' AS run_id, c_custkey AS spid FROM customer WHERE c_custkey % 10 = 9")
 def catalogue_run_log(spark, sf_dir):
     """New keys logged as JSON lists of bounded size and read back."""

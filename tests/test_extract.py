@@ -14,8 +14,10 @@ from snapflow.plans.card_job import (
     run_card_job,
     with_ids,
 )
+from snapflow.plans.catalogue_job import card_targets, leading, run_catalogue_job
 from snapflow.plans.price_job import price_batch, run_price_job, work_list
-from snapflow.schemas import NATIONS, PAGES, PLAYERS, PRICE_LATEST, SPID, TEAM_COLORS, TRAITS
+from snapflow.schemas import NATIONS, PAGES, PLAYERS, PRICE_LATEST, SEASON, SPID, TEAM_COLORS, TRAITS
+from snapflow.sources.readers import read_card_catalogue, target_keys
 from snapflow.sources.snapshots import read_changes, read_snapshot
 
 NAME = '<div class="name"> 홍 길동 </div>'
@@ -208,3 +210,32 @@ def test_card_job_end_to_end(spark, tmp_path):
     assert (row.new_players, row.changed, row.failures, row.new_traits) == (0, 1, 0, "[]")
     ok, bad = split_valid(extract_cards(later))
     assert (ok.count(), bad.count()) == (2, 0)
+
+
+def test_catalogue_then_only_new_cards(spark, tmp_path):
+    path = tmp_path / "spid.json"
+    path.write_text('[{"id": 100000009, "name": "z"}, {"id": 100000001, "name": "a"}, {"id": 100000002, "name": "b"}]')
+    cards = read_card_catalogue(spark, str(path))
+    assert [r.spid for r in leading(cards, 2).collect()] == [100000009, 100000001]
+    spid = spark.createDataFrame([(100000002, "b", True, None)], SPID)
+    seasons = spark.createDataFrame([(100, "S", "u")], SEASON)
+    run = run_catalogue_job(cards, seasons, spid, spark.createDataFrame([], SEASON), "r", dt.datetime(2024, 1, 1))
+    row = run.log.first()
+    assert (row.new_players, row.new_seasons) == (2, '[{"season_id":100,"class_name":"S"}]')
+    catalogue = run.spid.drop("action")
+    assert [r.spid for r in card_targets(catalogue, only_new=True, limit=1).collect()] == [100000001]
+
+    # one target page landed, one not; the page of a done card is not worked on
+    pages = spark.createDataFrame(
+        [(i, f"https://x.example.com/a?spid={k}", NAME + POS) for i, k in enumerate((100000001, 100000002))], PAGES
+    )
+    members = as_members(*[spark.createDataFrame([], s) for s in (NATIONS, TRAITS, TEAM_COLORS)])
+    done = run_card_job(
+        pages, spark.createDataFrame([], PLAYERS), catalogue, members, "r", dt.datetime(2024, 1, 1),
+        targets=card_targets(catalogue, only_new=True),
+    )
+    assert [r.spid for r in done.players.collect()] == [100000001]
+    assert [(r.spid, r.error) for r in done.rejects.collect()] == [(100000009, "no page")]
+    assert {r.spid for r in target_keys(done.spid, only_new=True).collect()} == {100000009}
+    log = done.log.first()
+    assert (log.new_players, log.failures) == (1, 1)
