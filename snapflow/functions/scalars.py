@@ -31,9 +31,14 @@ def from_naive_utc(c: Column) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")
 
 
+def utc_text(c: Column, pattern: str = "yyyy-MM-dd") -> Column:
+    """An instant as UTC text, whatever the session zone."""
+    return F.date_format(to_naive_utc(c), pattern)
+
+
 def default_run_id(c: Column) -> Column:
     """UTC day of an instant as yyyyMMdd."""
-    return F.date_format(to_naive_utc(c), "yyyyMMdd")
+    return utc_text(c, "yyyyMMdd")
 
 
 def series_end(as_of: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.hashing import content_hash, content_json
+from snapflow.functions.scalars import batch_time
 from snapflow.operators.extract import extract_cards, split_valid
 from snapflow.operators.runlog import shard_counts
 from snapflow.operators.shard import with_shard
@@ -220,7 +221,7 @@ def card_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     kind = F.concat("p_type", F.when(key % 13 == 0, " X").otherwise(""))
     now = _players_from_part(part, size, kind)
     before = _players_from_part(part.filter(key % 10 != 9), F.col("p_size"), F.col("p_type"))
-    at = F.lit(CREATED).cast("timestamp_ntz")
+    at = batch_time(CREATED, "timestamp_ntz")
     players = (
         before.withColumn("id", F.col("spid") + 1)
         .withColumn("main_ovr", F.when(F.col("spid") % 37 != 0, F.col("main_ovr")))
@@ -269,7 +270,7 @@ SELECT action, count(*) AS cards,
 """)
 def rating_moves(spark, sf_dir):
     merged = apply_card_changes(*card_versions(spark, sf_dir), NOW)
-    moved = F.col("ovr_changed_at") == F.lit(NOW).cast("timestamp_ntz")
+    moved = F.col("ovr_changed_at") == batch_time(NOW, "timestamp_ntz")
     return merged.groupBy(ACTION).agg(
         F.count(F.lit(1)).alias("cards"), F.count_if(moved).alias("rating_moved")
     )

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapflow.functions.scalars import batch_time, utc_text
 from snapflow.operators.runlog import logged_spids, sync_counts, sync_log
 from snapflow.operators.shard import (
     limit_keys,
@@ -30,7 +31,7 @@ from snapflow.sources.readers import (
     target_keys,
 )
 
-NOW = dt.datetime(2024, 1, 8)
+BEFORE, NOW = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8)
 
 
 def _customers(spark, sf_dir) -> DataFrame:
@@ -43,7 +44,7 @@ def _catalogue(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         "spid",
         F.when(key % 7 == 0, F.lower("name")).when(key % 31 == 0, F.lit(None)).otherwise(F.col("name")).alias("name"),
         (key % 2 == 0).alias("crawled"),
-        F.when(key % 2 == 0, F.lit("2024-01-01").cast("timestamp")).alias("crawled_at"),
+        F.when(key % 2 == 0, batch_time(BEFORE)).alias("crawled_at"),
     )
     return state, batch
 
@@ -181,7 +182,7 @@ def _marked(spark, sf_dir) -> DataFrame:
     key = F.col("spid")
     state = _customers(spark, sf_dir).select(
         "spid", "name", (key % 2 == 0).alias("crawled"),
-        F.when(key % 2 == 0, F.lit("2024-01-01").cast("timestamp")).alias("crawled_at"),
+        F.when(key % 2 == 0, batch_time(BEFORE)).alias("crawled_at"),
     )
     ok = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
     return mark_done(state, ok.select(F.col("o_custkey").alias("spid")), NOW)
@@ -194,7 +195,7 @@ SELECT spid, CAST(was_done OR hit AS INTEGER) AS crawled,
 def mark_processed(spark, sf_dir):
     return _marked(spark, sf_dir).select(
         "spid", F.col("crawled").cast("int").alias("crawled"),
-        F.date_format("crawled_at", "yyyy-MM-dd").alias("crawled_on"),
+        utc_text(F.col("crawled_at")).alias("crawled_on"),
     )
 
 

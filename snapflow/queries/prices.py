@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapflow.functions.scalars import batch_time, utc_text
 from snapflow.functions.series import back_date, latest_point, recent, with_series, zip_points
 from snapflow.operators.extract import price_series
 from snapflow.operators.latest import latest_per_key
@@ -75,9 +76,9 @@ def _latest(df: DataFrame) -> DataFrame:
 def state_and_batch(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Prices known before the middle of the month, and the latest ones after it."""
     pts = points(spark, sf_dir)
-    old = _latest(pts.filter(F.col("ts") < F.lit(FIRST).cast("timestamp_ntz")))
-    new = _latest(pts.filter(F.col("ts") >= F.lit(FIRST).cast("timestamp_ntz")))
-    return old.withColumn("updated_at", F.lit("2024-01-16 00:00:00").cast("timestamp")), new
+    old = _latest(pts.filter(F.col("ts") < batch_time(FIRST, "timestamp_ntz")))
+    new = _latest(pts.filter(F.col("ts") >= batch_time(FIRST, "timestamp_ntz")))
+    return old.withColumn("updated_at", batch_time(FIRST)), new
 
 
 def merged(spark, sf_dir) -> DataFrame:
@@ -90,7 +91,7 @@ def _plain(df: DataFrame, *more: str) -> DataFrame:
         F.col("strong").cast("int").alias("strong"),
         "price",
         F.col("price_date").cast("string").alias("price_date"),
-        F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"),
+        utc_text(F.col("updated_at")).alias("updated_on"),
         *more,
     )
 

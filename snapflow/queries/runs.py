@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.functions.scalars import default_run_id, from_naive_utc
+from snapflow.functions.scalars import default_run_id, from_naive_utc, utc_text
 from snapflow.operators.latest import top_cards, top_cards_per_run, top_per_group
 from snapflow.operators.runlog import (
     append_log,
@@ -88,7 +88,7 @@ SELECT run_id, new_players, changed, failures, shards_logged, 4 AS shards_expect
 def run_totals_all(spark, sf_dir):
     """Sums, shards logged and missing, and start of every run."""
     totals = run_totals(run_log(spark, sf_dir), expected=4)
-    return totals.withColumn("since", F.date_format("first_logged", "yyyy-MM-dd HH:mm:ss")).drop("first_logged")
+    return totals.withColumn("since", utc_text(F.col("first_logged"), "yyyy-MM-dd HH:mm:ss")).drop("first_logged")
 
 
 @query(f"{TOTALS_SQL} SELECT run_id, id, name FROM traits")
@@ -121,7 +121,7 @@ def run_log_of_one_run(spark, sf_dir):
     append_log(daily, path)
     rows = read_run_log(spark, path, "20240103")
     return rows.select(
-        "run_id", "phase", "shard", "failures", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("logged")
+        "run_id", "phase", "shard", "failures", utc_text(F.col("created_at"), "yyyy-MM-dd HH:mm:ss").alias("logged")
     )
 
 

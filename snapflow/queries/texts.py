@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from snapflow.functions import text as tx
 from snapflow.functions.grades import grade_spec
-from snapflow.functions.scalars import default_run_id, days_before, is_distinct, series_end, to_naive_utc
+from snapflow.functions.scalars import (
+    days_before,
+    default_run_id,
+    from_naive_utc,
+    is_distinct,
+    series_end,
+    utc_text,
+)
 from snapflow.operators.extract import extract_cards, map_labels, split_valid
 from snapflow.queries.registry import query, table
 from snapflow.schemas import STAT_LABELS
@@ -103,13 +110,13 @@ FROM events
 """)
 def date_functions(spark, sf_dir):
     """Run id, series end, back-dating, naive UTC time and null-safe difference."""
-    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    instant = from_naive_utc(F.col("ts"))
     day = F.col("ts").cast("date")
     zero = F.lit(0)
     return table(spark, sf_dir, "events").select(
         "event_id", default_run_id(instant).alias("run_id"), series_end(day).cast("string").alias("series_end"),
         days_before(day, (F.col("user_id") % 30).cast("int")).cast("string").alias("earlier"),
-        F.date_format(to_naive_utc(instant), "yyyy-MM-dd HH:mm:ss").alias("utc"),
+        utc_text(instant, "yyyy-MM-dd HH:mm:ss").alias("utc"),
         is_distinct(F.nullif(F.col("user_id") % 3, zero), F.nullif(F.col("event_id") % 3, zero)).cast("int").alias("differs"),
     )
 
