@@ -1,0 +1,58 @@
+"""One query for each operator over its whole table, and the SQL where SQL can say it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from snapflow.llm import bpe, chat, quality, simhash
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def query(sql: str | None = None):
+    """Register a function under its own name; without ``sql`` it is tested against brute force."""
+
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql.strip()
+        return fn
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query()
+def op3_byte_bpe(spark, sf_dir):
+    encoded = bpe.tokenize(table(spark, sf_dir, "documents"), MULTI, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query()
+def op5_quality_classifier(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op6_simhash_near_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
+@query()
+def op7_chat_formatting(spark, sf_dir):
+    own = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    formatted = chat.format_conversations(turns, MULTI, public_tokenizers.PATTERN)
+    return chat.conversation_digests(formatted)
