@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, chat, quality, simhash
+from snapflow.llm import bpe, chat, quality, simhash, topk, warc
+from snapflow.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("""
+WITH whole AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+WHERE r <= 5
+""")
+def op1_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), 5, lambda i: i % 50 == 0)
+
+
+@query()
+def op2_warc_bundles(spark, sf_dir):
+    root = warc.as_uri(work_dir(spark, "warc"))
+    index = warc.write_archives(table(spark, sf_dir, "pages"), root)
+    read = warc.read_archives(index, root)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op3_byte_bpe(spark, sf_dir):
     encoded = bpe.tokenize(table(spark, sf_dir, "documents"), MULTI, public_tokenizers.PATTERN)
