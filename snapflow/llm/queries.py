@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, chat, quality, simhash, topk, warc
+from snapflow.llm import bpe, chat, decontam, lines, quality, simhash, suffix, topk, warc
 from snapflow.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,56 @@ def op7_chat_formatting(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     formatted = chat.format_conversations(turns, MULTI, public_tokenizers.PATTERN)
     return chat.conversation_digests(formatted)
+
+
+@query()
+def op8_suffix_dedup(spark, sf_dir):
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query(r"""
+WITH w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] AS w FROM documents),
+held AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+b AS (SELECT item_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> ''] AS w FROM benchmark),
+asked AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                                       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM b),
+sizes AS (SELECT item_id, count(*) AS n FROM asked GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS k FROM held JOIN asked USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, k AS n_shared, n AS n_shingles, round(k / n, 6) AS containment
+FROM shared JOIN sizes USING (item_id) WHERE k >= ceil(n * 0.8 - 1e-9)
+""")
+def op9_benchmark_decontamination(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(r"""
+WITH raw AS (SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+counted AS (SELECT *, len(regexp_extract_all(line, '\S+')) AS words FROM raw),
+numbered AS (SELECT *, sum(CASE WHEN words > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k,
+                    sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM counted),
+ls AS (SELECT doc_id, k, line, upto, upto - words AS before FROM numbered WHERE words > 0),
+lists AS (SELECT doc_id, list(line ORDER BY k) AS all_lines FROM ls GROUP BY doc_id),
+runs AS (
+  SELECT a.doc_id, a.k AS s, min(b.k) AS e FROM ls a JOIN ls b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.before >= 50 GROUP BY a.doc_id, a.k
+  UNION
+  SELECT b.doc_id, max(a.k) AS s, b.k AS e FROM ls a JOIN ls b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.before >= 50 GROUP BY b.doc_id, b.k),
+texts AS (SELECT doc_id, s, e, array_to_string(all_lines[s:e], chr(10)) AS t FROM runs JOIN lists USING (doc_id)),
+later AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS r FROM texts),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS k FROM later WHERE r > 1)
+SELECT n.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE g.k IS NOT NULL AND n.words > 0) AS n_removed,
+       sha256(coalesce(string_agg(n.line, chr(10) ORDER BY n.i) FILTER (WHERE g.k IS NULL), '')) AS kept_sha256
+FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.k = g.k GROUP BY n.doc_id
+""")
+def op10_line_dedup(spark, sf_dir):
+    done = lines.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return done.select("row.doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
