@@ -67,9 +67,11 @@ def candidates(docs: DataFrame, index: DataFrame, k: int = WORDS) -> DataFrame:
     smallest = F.pow(F.lit(2.0), F.floor(F.log2("need"))).cast("int")  # of the item's partition
     entries = cut(index.select("item", smallest.alias("smallest"), F.explode("minima").alias("h")))
     # words apart from what is made of them, or each shingle would split its text again
-    hashed = docs.select("did", "tkey", words("text").alias("w")).select("did", "tkey", shingle_hashes(F.col("w"), k).alias("hs"))
-    # an outer generator, because a filter inferred from the inner one would hash every text again
-    probes = hashed.select("did", "tkey", F.size("hs").alias("n"), F.explode_outer("hs").alias("h"))
+    hashed = docs.select("did", "tkey", words("text").alias("w")).select(
+        "did", "tkey", F.coalesce(F.size("w"), F.lit(0)).alias("n"), shingle_hashes(F.col("w"), k).alias("hs")
+    )
+    # an outer generator and a size that cannot be null, because filters inferred from them would hash every text again
+    probes = hashed.select("did", "tkey", "n", F.explode_outer("hs").alias("h"))
     return probes.join(entries, "h").filter(F.col("n") >= F.col("smallest")).select("did", "tkey", "item").distinct()
 
 
