@@ -116,7 +116,7 @@ def op9_benchmark_decontamination(spark, sf_dir):
 @query(r"""
 WITH raw AS (SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
 counted AS (SELECT *, len(regexp_extract_all(line, '\S+')) AS words FROM raw),
-numbered AS (SELECT *, sum(CASE WHEN words > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k,
+numbered AS (SELECT *, CAST(sum(CASE WHEN words > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS k,
                     sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM counted),
 ls AS (SELECT doc_id, k, line, upto, upto - words AS before FROM numbered WHERE words > 0),
 lists AS (SELECT doc_id, list(line ORDER BY k) AS all_lines FROM ls GROUP BY doc_id),
