@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, chat, decontam, lines, quality, simhash, suffix, topk, warc
+from snapflow.llm import bpe, chat, decontam, licenses, lines, quality, simhash, suffix, topk, warc
 from snapflow.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,52 @@ FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.k = g.k GROUP BY n
 def op10_line_dedup(spark, sf_dir):
     done = lines.remove_repeated_lines(table(spark, sf_dir, "documents"))
     return done.select("row.doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_WORDS = r"[x FOR x IN regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+') IF x <> '']"
+_TEMPLATES = ", ".join(f"({i}, '{spdx}', '{text}')" for i, (spdx, text) in enumerate(licenses.TEMPLATES))
+
+
+@query(rf"""
+WITH t(template, license, text) AS (VALUES {_TEMPLATES}),
+tw AS (SELECT template, license, {_WORDS.format("text")} AS w FROM t),
+files AS (
+  SELECT doc_id, text, doc_id % 16 = 0 AS is_license,
+         coalesce(source, 'none') || '/' || (doc_id - doc_id % 256) || CASE WHEN doc_id % 256 = 0 THEN '' ELSE '/' || (doc_id - doc_id % 16) END AS dir
+  FROM documents WHERE doc_id IS NOT NULL),
+bodies AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body FROM files),
+found AS (SELECT doc_id, {_WORDS.format("body")} AS w FROM bodies WHERE regexp_matches(body, '(?i)licen[cs]e|copyright|permission|permitted|public domain')),
+alike AS (SELECT DISTINCT w FROM found),
+both_of AS (SELECT w FROM alike UNION ALL SELECT w FROM tw),
+n AS (SELECT count(*) AS n FROM both_of),
+vocabulary AS (SELECT DISTINCT unnest(w) AS term FROM tw),
+seen AS (SELECT unnest(list_distinct(w)) AS term FROM both_of),
+idf AS (SELECT term, ln((n + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) + 1 AS idf FROM seen JOIN vocabulary USING (term), n GROUP BY term, n),
+tf AS (SELECT w, term, count(*) AS tf FROM (SELECT w, unnest(w) AS term FROM alike) GROUP BY w, term),
+weighed AS (SELECT w, term, idf, tf * coalesce(idf, ln((n + 1.0::DOUBLE) / 2) + 1) AS x FROM tf LEFT JOIN idf USING (term), n),
+lengths AS (SELECT w, sqrt(sum(x * x)) AS l FROM weighed GROUP BY w),
+ttf AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest(w) AS term FROM tw) GROUP BY ALL),
+tweighed AS (SELECT *, tf * idf AS x, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS l FROM ttf JOIN idf USING (term)),
+cosine AS (
+  SELECT a.w, template, license, round(sum(a.x / l1.l * b.x / b.l), 6) AS score
+  FROM weighed a JOIN lengths l1 USING (w) JOIN tweighed b USING (term) GROUP BY a.w, template, license),
+best AS (SELECT w, first(license ORDER BY score DESC, template) AS license, max(score) AS score, first(template ORDER BY score DESC, template) AS template FROM cosine WHERE score >= 0.7 GROUP BY w),
+own AS (SELECT doc_id, first(license ORDER BY score DESC, template) AS license, max(score) AS score FROM found JOIN best USING (w) GROUP BY doc_id),
+given AS (SELECT dir, first(doc_id ORDER BY 'LICENSE.' || doc_id) AS by_doc FROM files JOIN own USING (doc_id) WHERE is_license GROUP BY dir),
+ups AS (SELECT doc_id, 0 AS far, dir FROM files UNION ALL SELECT doc_id, 1, regexp_replace(dir, '/?[^/]*$', '') FROM files
+        UNION ALL SELECT doc_id, 2, regexp_replace(regexp_replace(dir, '/?[^/]*$', ''), '/?[^/]*$', '') FROM files),
+nearest AS (SELECT doc_id, arg_min(by_doc, far) AS by_doc FROM ups JOIN given USING (dir) GROUP BY doc_id)
+SELECT f.doc_id, coalesce(o.license, g.license) AS license, coalesce(o.score, g.score) AS score,
+       CASE WHEN o.doc_id IS NOT NULL THEN 'own' WHEN x.by_doc IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       coalesce(o.doc_id, x.by_doc) AS licensed_by
+FROM (SELECT DISTINCT doc_id FROM files) f LEFT JOIN own o USING (doc_id) LEFT JOIN nearest x USING (doc_id) LEFT JOIN own g ON g.doc_id = x.by_doc
+""")
+def op4_license_scan(spark, sf_dir):
+    """Documents as the files of a tree: source / block of 256 / block of 16, a licence file first in each block."""
+    i = F.col("doc_id")
+    top = F.concat_ws("/", F.coalesce("source", F.lit("none")), i - i % 256)
+    inner = F.when(i % 256 == 0, top).otherwise(F.concat_ws("/", top, i - i % 16))
+    name = F.concat(F.when(i % 16 == 0, "LICENSE.").otherwise("doc."), i.cast("string"))
+    files = table(spark, sf_dir, "documents").select(F.when(i.isNotNull(), F.concat_ws("/", inner, name)).alias("path"), "text")
+    number = lambda c: F.regexp_extract(c, r"(-?[0-9]+)$", 1).cast("long")
+    return licenses.scan(files).select(number("path").alias("doc_id"), "license", "score", "origin", number("licensed_by").alias("licensed_by"))
