@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapflow.llm.common import components, small_batches
@@ -244,7 +244,10 @@ def near_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp and component_id (smallest doc_id reachable) of every document.
+    """doc_id, tkey, fp, root and component_id (smallest doc_id reachable) of every document.
+
+    ``tkey`` is a hash of the text, which tells rows of one id apart, and ``root`` the
+    component's smallest fingerprint.
 
     Documents without words, null texts among them, have fingerprint 0 and are
     linked like any other. Repeated rows are copies. A null doc_id is never the
@@ -252,7 +255,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     fingerprints are one point, so copies are never compared.
     """
     small_batches(docs.sparkSession)
-    marks = cut(docs.select("doc_id", fingerprint("text").alias("fp")))
+    marks = cut(docs.select("doc_id", F.xxhash64("text").alias("tkey"), fingerprint("text").alias("fp")))
     points = cut(marks.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(near_links(points, radius))
     labelled = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -260,5 +263,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     groups = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     # a fingerprint of very many copies is one key of this join, which adaptive execution splits
-    by_fp = labelled.select("fp", "root").join(groups, "root").select("fp", "component_id")
-    return marks.join(cut(by_fp), "fp").select("doc_id", "fp", "component_id")
+    by_fp = labelled.select("fp", "root").join(groups, "root").select("fp", "root", "component_id")
+    return marks.join(cut(by_fp), "fp").select("doc_id", "tkey", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the smallest id, given ones before null, then the smallest text hash."""
+    found = near_duplicates(docs, radius)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey"))
+    # a struct compares null ids as equal
+    stay = found.groupBy("root").agg(best.alias("b")).select(F.struct("b.doc_id", "b.tkey").alias("_key"))
+    rows = docs.select(F.struct("*").alias("_row"), F.struct("doc_id", F.xxhash64("text").alias("tkey")).alias("_key"))
+    first = Window.partitionBy("_key").orderBy(F.col("_key.tkey"))
+    kept = rows.join(stay, "_key", "left_semi").withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
