@@ -90,17 +90,17 @@ def _named(rows: DataFrame, *key: str) -> DataFrame:
 def repeated_runs(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(did, tkey, lo, hi): spans of lines with words, [lo, hi), that copy an earlier run of ``min_words`` words or more.
 
-    ``texts`` has did, tkey and text without nulls in text; rows equal in did and
-    tkey are one document.
+    ``texts`` has did, tkey and text without nulls; rows equal in did and tkey are
+    one document.
     """
-    docs = texts.select("did", "tkey").distinct().select(F.struct(F.col("did").isNotNull().alias("given"), "did", "tkey").alias("doc_key"))
-    numbers = ordinal(docs, "doc_key", name="doc").select("doc_key.did", "doc_key.tkey", "doc")
-    # one row per document only, as repeated rows must not copy each other
-    once = texts.select("did", "tkey", "text")
-    rows = once.mapInArrow(_line_rows(min_words), "did long, tkey long, line int, h1 long, h2 long, run_on int, run_upto int")
+    docs = texts.select("did", "tkey").distinct()
+    numbers = ordinal(docs, "did", "tkey", name="doc")
+    rows = texts.select("did", "tkey", "text").mapInArrow(
+        _line_rows(min_words), "did long, tkey long, line int, h1 long, h2 long, run_on int, run_upto int"
+    )
     place = F.shiftleft(F.col("doc"), _LINE_BITS) + F.col("line")
-    same = rows["did"].eqNullSafe(numbers["did"]) & (rows["tkey"] == numbers["tkey"])
-    places = rows.join(numbers, same).select(place.alias("at"), "h1", "h2", "run_on", "run_upto").distinct()
+    # distinct, as repeated rows must not copy each other
+    places = rows.join(numbers, ["did", "tkey"]).select(place.alias("at"), "h1", "h2", "run_on", "run_upto").distinct()
 
     repeated = cut(_named(places, "h1", "h2").select("at", "name", "run_on", "run_upto"))
     runs = cut(
@@ -153,7 +153,7 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     """
     small_batches(docs.sparkSession)
     body = F.coalesce("text", F.lit(""))
-    texts = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("did"), F.xxhash64(body).alias("tkey"), body.alias("text"))
+    texts = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(body).alias("tkey"), body.alias("text"))
     spans = repeated_runs(texts, min_words).groupBy("did", "tkey").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
 
     @F.pandas_udf("struct<kept:string, n_lines:long, n_removed:long>")
@@ -165,9 +165,7 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
             out.append((kept, text.count("\n") + 1, removed))
         return pd.DataFrame(out, columns=["kept", "n_lines", "n_removed"])
 
-    by_doc = spans.select(F.struct("did", "tkey").alias("k"), "found").hint("shuffle_hash")
-    # ids can be null, so the key is a struct, which compares nulls as equal
-    joined = texts.withColumn("k", F.struct("did", "tkey")).join(by_doc, "k", "left")
+    joined = texts.join(spans.hint("shuffle_hash"), ["did", "tkey"], "left")
     return joined.select("row", keep("text", "found").alias("o")).select("row", "o.*")
 
 
