@@ -18,7 +18,7 @@ WORDS = 4
 SEED = 42  # of the shingle hash
 RADIUS = 4
 #: Fingerprints a shard should own; the tree over a sample is cut to such shards.
-SHARD = 16_384
+SHARD = 65_536
 #: At most so many fingerprints, of the smallest hashes, are gathered to grow the tree.
 SAMPLE = 16_384
 _PART = 1 << 16
