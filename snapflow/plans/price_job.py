@@ -34,13 +34,34 @@ def price_batch(pages: DataFrame, as_of: Column, work: DataFrame | None = None)
     return latest_per_key(points, KEYS, ["page_id"]).drop("page_id")
 
 
-def run_price_job(pages: DataFrame, root: str, as_of: Column, now, commit_id: str | None = None) -> int:
-    """Merge landed price pages into the snapshot under ``root``; returns its version."""
+def commit_prices(batch: DataFrame, root: str, now, commit_id: str | None = None, buckets: int = 64) -> int:
+    """Merge one price per pair into the snapshot under ``root``, laid out for search:
+    grades are folders, and prices are sorted in each file. Returns the version."""
     return snapshots.commit(
-        price_batch(pages, as_of),
+        batch,
         root,
         PRICE_LATEST,
         KEYS,
         lambda state, batch, keys: upsert_latest(state, batch, now, keys),
-        commit_id=commit_id,
+        buckets,
+        commit_id,
+        layout=("strong",),
+        order=("price",),
     )
+
+
+def run_price_job(
+    pages: DataFrame,
+    root: str,
+    as_of: Column,
+    now,
+    commit_id: str | None = None,
+    work: DataFrame | None = None,
+    buckets: int = 64,
+) -> int:
+    """Merge landed price pages into the snapshot under ``root``; returns its version.
+
+    ``work`` limits the run to the pairs of a work list; ``commit_id`` names the run
+    and its shard.
+    """
+    return commit_prices(price_batch(pages, as_of, work), root, now, commit_id, buckets)

@@ -12,14 +12,14 @@ from snapflow.functions.series import back_date, latest_point, recent, with_seri
 from snapflow.operators.extract import price_series
 from snapflow.operators.latest import latest_per_key
 from snapflow.operators.upsert import ACTION, changes, classify, load_counts, upsert_latest
-from snapflow.plans.price_job import KEYS, price_batch
+from snapflow.plans.price_job import KEYS, commit_prices, price_batch, run_price_job, work_list
 from snapflow.queries.registry import query, spread, table
 from snapflow.schemas import PRICE_LATEST
 from snapflow.session import work_dir
 from snapflow.sources import snapshots
 from snapflow.sources.readers import with_page_keys
 
-FIRST, SECOND = dt.datetime(2024, 1, 16), dt.datetime(2024, 2, 1)
+FIRST, SECOND, THIRD = dt.datetime(2024, 1, 16), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
 AS_OF = dt.date(2024, 6, 2)
 
 # each event is one observed price of a (card, grade) pair
@@ -160,16 +160,63 @@ def snapshot_upsert(spark, sf_dir):
     return _plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))
 
 
+def _committed(spark, sf_dir, *more) -> str:
+    """Both slices committed, then further (batch, time, commit id) steps; the table's folder."""
+    old, new = state_and_batch(spark, sf_dir)
+    root = work_dir(spark, "prices")
+    for rows, now, commit_id in ((old.drop("updated_at"), FIRST, "first"), (new, SECOND, "second"), *more):
+        commit_prices(rows, root, now, commit_id, buckets=8)
+    return root
+
+
 @query(f"""{SLICES_SQL}
 SELECT spid, strong, price, price_date, updated_on FROM state
 WHERE strong = 7 AND price BETWEEN 1 AND 3
 """)
 def range_search(spark, sf_dir):
-    """Grade and price-range search on the search layout."""
-    path = work_dir(spark, "search")
-    snapshots.write_search_layout(merged(spark, sf_dir).drop(ACTION), path)
-    laid_out = spark.read.schema(PRICE_LATEST).parquet(path)
-    return _plain(snapshots.search(laid_out, 7, 1, 3))
+    """Grade and price-range search on the maintained table."""
+    state = snapshots.read_snapshot(spark, _committed(spark, sf_dir), PRICE_LATEST)
+    return _plain(snapshots.search(state, 7, 1, 3))
+
+
+@query(f"{SLICES_SQL} SELECT spid, strong, price, price_date, updated_on FROM state")
+def retried_commit(spark, sf_dir):
+    """An old commit tried again after a newer one changes nothing."""
+    old, _ = state_and_batch(spark, sf_dir)
+    root = _committed(spark, sf_dir, (old.drop("updated_at"), THIRD, "first"))
+    return _plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))
+
+
+@query(f"{SLICES_SQL} SELECT spid, strong, price, price_date, updated_on FROM state")
+def slices_of_one_day(spark, sf_dir):
+    """Six slices of one run, each a commit named by run and shard, are all kept."""
+    old, new = state_and_batch(spark, sf_dir)
+    root = work_dir(spark, "prices")
+    commit_prices(old.drop("updated_at"), root, FIRST, "20240116", buckets=4)
+    for shard in range(6):
+        commit_prices(new.filter(F.col("spid") % 6 == shard), root, SECOND, f"20240201/{shard}", buckets=4)
+    return _plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))
+
+
+@query(f"""{SLICES_SQL}
+SELECT 3 AS version, count(*) AS attempted, 0 AS "insert", 0 AS "update", count(*) AS skip, 0 AS new_parts FROM n
+""")
+def unchanged_commit(spark, sf_dir):
+    """The newest batch once more under a new name: all rows are skipped and no data is written."""
+    _, new = state_and_batch(spark, sf_dir)
+    root = _committed(spark, sf_dir, (new, THIRD, "again"))
+    written = sum(p.data_version == 3 for p in snapshots.manifest(spark, root))
+    counts = snapshots.commit_counts(spark, root, 3)
+    return counts.select(F.lit(3).alias("version"), "*", F.lit(written).alias("new_parts"))
+
+
+@query(f"""{SLICES_SQL}
+SELECT spid, strong, price, price_date, action FROM state WHERE action IN ('insert', 'update')
+""")
+def committed_changes(spark, sf_dir):
+    """The rows that the newest commit inserted or updated, read back from the table."""
+    moved = snapshots.read_changes(spark, _committed(spark, sf_dir), PRICE_LATEST, 2)
+    return _plain(moved, ACTION).drop("updated_on")
 
 
 # Price pages: one per order, with a series whose shape follows the order key.
@@ -283,3 +330,19 @@ def paired_series(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(key.alias("spid"), F.inline(pts)).select(
         "spid", F.col("date").cast("string").alias("price_date"), "price"
     )
+
+
+@query(f"""
+WITH {SERIES_SQL},
+k AS (SELECT o_orderkey AS spid, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders),
+picked AS (SELECT spid FROM k WHERE pos < 900 AND pos % 3 = 1)
+SELECT spid, strong, CAST(price_date AS VARCHAR) AS price_date, price
+FROM series JOIN picked USING (spid) WHERE i = n_points - 1 AND strong IN (2, 3, 5)
+""")
+def price_job_work_list(spark, sf_dir):
+    """Price pages of one shard's pairs merged into the table, everything else left out."""
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("spid"))
+    work = work_list(keys, [2, 3, 5], limit=900, index=1, count=3)
+    root = work_dir(spark, "prices")
+    run_price_job(price_pages(spark, sf_dir), root, F.lit(AS_OF), SECOND, "20240602/1", work, buckets=4)
+    return _dated(snapshots.read_snapshot(spark, root, PRICE_LATEST), "price_date")

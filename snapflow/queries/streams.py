@@ -51,3 +51,21 @@ def stream_upsert(spark, sf_dir):
             offsets, buckets=8,
         ).awaitTermination()
     return prices._plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))
+
+
+@query(f"{prices.SLICES_SQL} SELECT spid, strong, price, price_date, updated_on FROM state")
+def two_streams(spark, sf_dir):
+    """Two streams into one snapshot, each with its own checkpoint: the first batch of both counts."""
+    root = work_dir(spark, "stream")
+    schema = "spid bigint, strong smallint, price bigint, price_date date"
+    old, new = prices.state_and_batch(spark, sf_dir)
+    for rows, now in ((old.drop("updated_at"), prices.FIRST), (new, prices.SECOND)):
+        landed = work_dir(spark, "landed")
+        rows.select("spid", "strong", "price", "price_date").write.parquet(landed)
+        upsert_stream(
+            ingest_pages(spark, landed, schema=schema), root, PRICE_LATEST, KEYS,
+            lambda batch: batch,
+            lambda state, batch, keys, now=now: upsert_latest(state, batch, now, keys),
+            work_dir(spark, "offsets"), buckets=8,
+        ).awaitTermination()
+    return prices._plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))

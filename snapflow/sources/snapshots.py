@@ -1,12 +1,13 @@
 """Versioned Parquet snapshots of a keyed table.
 
-    <root>/data/v=<n>/bucket=<b>/...    rows of the buckets that commit n touched
+    <root>/data/v=<n>/bucket=<b>/...    rows of the buckets that commit n changed
     <root>/manifest/v=<n>/...           for each bucket, the version holding it
+    <root>/commits/v=<n>/...            the commit: its id, its batch and its counts
 
-Rows go to buckets by key hash. A commit reads and rewrites only the buckets its
-batch touches, never a path being read, and becomes visible with its manifest,
-which is written last; a job that dies before leaves the previous version in
-place. Where the cluster offers a table format with MERGE, use that instead.
+Rows go to buckets by key hash. A commit rewrites only the buckets in which its
+batch changes a row, never a path being read, and becomes visible with its row
+under commits, which is written last; a job that dies before leaves the previous
+version in place. Where the cluster offers a table format with MERGE, use that instead.
 """
 
 from __future__ import annotations
@@ -15,38 +16,47 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.operators.upsert import ACTION, changes, load_counts
+from snapflow.operators.upsert import ACTION, INSERT, SKIP, UPDATE, WRITTEN, changes
 from snapflow.session import session_conf
 
-BUCKET = "bucket"
-_MANIFEST = "bucket int, data_version int, commit_id string, buckets int, v int"
+BUCKET, SLICE = "bucket", "slice"
+_MANIFEST = "bucket int, data_version int, buckets int, v int"
+_COMMITS = "commit_id string, mark string, attempted long, inserted long, updated long, skipped long, v int"
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def manifest(spark: SparkSession, root: str, version: int | None = None) -> list:
-    """Rows of one manifest, the newest by default: one row per filled bucket."""
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """All commits of a table, one row each; empty before the first."""
     try:
-        seen = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
+        return spark.read.schema(_COMMITS).parquet(f"{root}/commits")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return spark.createDataFrame([], _COMMITS)
         raise
+
+
+def manifest(spark: SparkSession, root: str, version: int | None = None) -> list[Row]:
+    """Rows of one manifest, the newest by default: one row per filled bucket."""
+    if version is None:
+        version = commits(spark, root).agg(F.max("v")).first()[0]
     if version is None:
-        version = seen.agg(F.max("v")).first()[0]
-    return seen.filter(F.col("v") == version).collect()
+        return []
+    # by its folder name: older manifests are not read
+    return spark.read.schema(_MANIFEST).option("basePath", f"{root}/manifest").parquet(f"{root}/manifest/v={version}").collect()
 
 
-def _read(spark: SparkSession, root: str, schema: str, parts: list, extra: str = "") -> DataFrame:
+def _read(spark: SparkSession, root: str, schema: str, parts: list[Row], extra: str = "") -> DataFrame:
     if not parts:
         return spark.createDataFrame([], schema + extra)
     paths = [f"{root}/data/v={p.data_version}/{BUCKET}={p.bucket}" for p in parts]
-    return spark.read.schema(schema + extra).parquet(*paths)
+    read = spark.read.schema(f"{schema}{extra}, v int, {BUCKET} int").option("basePath", f"{root}/data")
+    return read.parquet(*paths).drop("v", BUCKET).select(*spark.createDataFrame([], schema + extra).columns)
 
 
 def read_snapshot(
@@ -62,10 +72,21 @@ def read_changes(spark: SparkSession, root: str, schema: str, version: int) -> D
     return changes(_read(spark, root, schema, parts, f", {ACTION} string"))
 
 
-def commit_counts(spark: SparkSession, root: str, schema: str, version: int) -> DataFrame:
-    """Rows attempted, inserted, updated and skipped by a commit, from its action column."""
-    parts = [p for p in manifest(spark, root, version) if p.data_version == version]
-    return load_counts(_read(spark, root, schema, parts, f", {ACTION} string").select(ACTION))
+def commit_counts(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """Rows attempted, inserted, updated and skipped by a commit."""
+    return commits(spark, root).filter(F.col("v") == version).select(
+        "attempted", F.col("inserted").alias(INSERT), F.col("updated").alias(UPDATE), F.col("skipped").alias(SKIP)
+    )
+
+
+def _one_row(spark: SparkSession, path: str, schema: pa.Schema, rows: list[dict]) -> None:
+    spark.createDataFrame(pa.Table.from_pylist(rows, schema)).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+_MANIFEST_FILE = pa.schema([("bucket", pa.int32()), ("data_version", pa.int32()), ("buckets", pa.int32())])
+_COMMIT_FILE = pa.schema([
+    ("commit_id", pa.string()), ("mark", pa.string()), *((c, pa.int64()) for c in ("attempted", "inserted", "updated", "skipped")),
+])
 
 
 def commit(
@@ -76,51 +97,79 @@ def commit(
     merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame],
     buckets: int = 64,
     commit_id: str | None = None,
+    layout: tuple[str, ...] = (),
+    order: tuple[str, ...] = (),
 ) -> int:
     """Merge a batch into the table and return the version that holds it.
 
-    ``merge(state, batch, keys)`` is an upsert; its keys include the bucket, so
-    that one shuffle of each side by bucket serves the join and the layout. The bucket count is fixed by the first
-    commit. A ``commit_id`` seen in the newest manifest is a replay and changes
-    nothing. One writer at a time.
+    ``merge(state, batch, keys)`` is an upsert; its keys include the bucket and a
+    slice of it, so that one shuffle of each side serves the join and the layout
+    and several tasks serve a bucket. Actions are found first, from keys and compared
+    columns, and only buckets with an insert or update are written; a batch that
+    changes nothing adds no data. The bucket count is fixed by the first commit.
+
+    A ``commit_id`` names the slice of input, say run and shard. An id that any
+    earlier commit had is a replay and changes nothing, whatever came after; the same
+    id with other rows raises. One writer at a time.
+
+    ``layout`` columns become folders below the bucket and ``order`` sorts each file,
+    for searches on them.
     """
     spark = batch.sparkSession
-    current = manifest(spark, root)
-    version = current[0].v if current else 0
-    if commit_id is not None and current and current[0].commit_id == commit_id:
-        return version
+    history = commits(spark, root)
+    version = history.agg(F.max("v")).first()[0] or 0
+    current = manifest(spark, root, version) if version else []
     if current:
         buckets = current[0].buckets
 
-    bucket = bucket_of(keys, buckets)
-    batch = batch.withColumn(BUCKET, bucket).persist()
+    batch = batch.withColumn(BUCKET, bucket_of(keys, buckets)).persist()
     try:
         # at most one row per bucket reaches the driver
-        hit = {r[0] for r in batch.select(BUCKET).distinct().collect()}
-        if not hit:
+        part = batch.groupBy(BUCKET).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*batch.columns).cast("decimal(38,0)")).alias("h")
+        ).collect()
+        mark = f"{sum(r.n for r in part)}-{sum(r.h for r in part)}"
+        if commit_id is not None:
+            seen = history.filter(F.col("commit_id") == commit_id).first()
+            if seen is not None and seen.mark != mark:
+                raise ValueError(f"commit {commit_id!r} returns with other rows")
+            if seen is not None:
+                return version
+        hit = {r[BUCKET] for r in part}
+        if not hit and commit_id is None:
             return version
-        state = _read(spark, root, schema, [p for p in current if p.bucket in hit])
+
         version += 1
-        state = state.withColumn(BUCKET, bucket)
-        merged = merge(state.repartition(BUCKET), batch.repartition(BUCKET), [BUCKET, *keys])
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+        def merged(hit: set[int]) -> DataFrame:
+            slices = -(-tasks // max(len(hit), 1))
+            part = F.pmod(F.floor(F.pmod(F.xxhash64(*keys), F.lit(buckets * slices)) / buckets), F.lit(slices)).cast("int")
+            state = _read(spark, root, schema, [p for p in current if p.bucket in hit]).withColumn(BUCKET, bucket_of(keys, buckets))
+            new = batch.filter(F.col(BUCKET).isin(hit))
+            sides = [d.withColumn(SLICE, part).repartition(BUCKET, SLICE) for d in (state, new)]
+            return merge(*sides, [BUCKET, SLICE, *keys])
+
         with session_conf(spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
-            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/data/v={version}")
+            actions = merged(hit).groupBy(BUCKET, ACTION).agg(F.count(F.lit(1)).alias("n")).collect() if hit else []
+            changed = {r[BUCKET] for r in actions if r[ACTION] in WRITTEN}
+            if changed:
+                rows = merged(changed).drop(SLICE)
+                if layout or order:
+                    rows = rows.sortWithinPartitions(BUCKET, *layout, *order)
+                rows.write.mode("overwrite").partitionBy(BUCKET, *layout).parquet(f"{root}/data/v={version}")
     finally:
         batch.unpersist()
 
-    holds = {p.bucket: p.data_version for p in current} | dict.fromkeys(hit, version)
-    listed = pa.table({
-        "bucket": pa.array(holds.keys(), pa.int32()),
-        "data_version": pa.array(holds.values(), pa.int32()),
-    })
-    (
-        spark.createDataFrame(listed)
-        .withColumn("commit_id", F.lit(commit_id).cast("string"))
-        .withColumn("buckets", F.lit(buckets))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{root}/manifest/v={version}")
-    )
+    holds = {p.bucket: p.data_version for p in current} | dict.fromkeys(changed, version)
+    _one_row(spark, f"{root}/manifest/v={version}", _MANIFEST_FILE, [
+        {"bucket": b, "data_version": v, "buckets": buckets} for b, v in holds.items()
+    ])
+    n = {a: sum(r.n for r in actions if r[ACTION] == a) for a in (INSERT, UPDATE, SKIP)}
+    _one_row(spark, f"{root}/commits/v={version}", _COMMIT_FILE, [{
+        "commit_id": commit_id, "mark": mark, "attempted": sum(n.values()),
+        "inserted": n[INSERT], "updated": n[UPDATE], "skipped": n[SKIP],
+    }])
     return version
 
 

@@ -29,16 +29,19 @@ def upsert_stream(
     merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame],
     checkpoint: str,
     buckets: int = 64,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Merge everything landed so far into the snapshot under ``root``, then stop.
 
-    Each micro-batch is one commit named by its batch id, so a batch replayed
-    after a failure changes nothing.
+    Each micro-batch is one commit named by the stream and its batch id, so a batch
+    replayed after a failure changes nothing. The stream's name is its checkpoint
+    folder unless given: another stream, or a new checkpoint, is never taken for it.
     """
+    name = name or checkpoint
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         rows = to_batch(batch)
-        snapshots.commit(rows, root, schema, keys, merge, buckets, commit_id=f"batch-{batch_id}")
+        snapshots.commit(rows, root, schema, keys, merge, buckets, commit_id=f"{name}#{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(commit)

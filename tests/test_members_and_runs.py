@@ -220,7 +220,7 @@ def test_commit_rewrites_only_touched_buckets(spark, tmp_path):
     state = {r.spid: r.price for r in snapshots.read_snapshot(spark, root, PRICE_LATEST).collect()}
     assert state == {**{i: i for i in range(200)}, 7: 70}
     assert [r.spid for r in snapshots.read_changes(spark, root, PRICE_LATEST, 2).collect()] == [7]
-    counts = snapshots.commit_counts(spark, root, PRICE_LATEST, 2).first().asDict()
+    counts = snapshots.commit_counts(spark, root, 2).first().asDict()
     assert counts == {"attempted": 1, "insert": 0, "update": 1, "skip": 0}
     assert snapshots.commit(one.filter("false"), root, PRICE_LATEST, keys, merge(T(2024, 1, 3))) == 2
     assert snapshots.read_snapshot(spark, str(tmp_path / "none"), PRICE_LATEST).count() == 0
