@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapflow.functions.scalars import from_naive_utc
+
 # Spark prunes row_number() <= n before the shuffle up to this n
-# (spark.sql.optimizer.windowGroupLimitThreshold); larger n are pruned by salt.
-_PRUNED_RANK = 1000
+_PRUNED_RANK = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` per key; ``order`` decides between all rows of a key.
 
     An aggregate rather than a window: each map task keeps one row per key, so
-    a key holding a third of the input sends one row per task. A single,
-    non-null order column over fixed-width columns needs no sort at all.
+    a key holding a third of the input sends one row per task. A single, non-null
+    order column, or a time and a whole number packed into one, over fixed-width
+    columns needs no sort at all.
     """
     rest = [c for c in df.columns if c not in keys]
+    packed = _packed(df, order)
+    if packed is not None:
+        newest = [F.max_by(c, "_order").alias(c) for c in rest]
+        return df.withColumn("_order", packed).groupBy(*keys).agg(*newest).select(*df.columns)
     if len(order) == 1:
         newest = [F.max_by(c, order[0]).alias(c) for c in rest]
         return df.groupBy(*keys).agg(*newest).select(*df.columns)
@@ -30,6 +38,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return grouped.select(*keys, "_row.*", "_at.*").select(*df.columns)
 
 
+def _packed(df: DataFrame, order: list[str]) -> Column | None:
+    """A time and a whole number as one fixed-width number in the same order, nulls least; None for other types."""
+    types = dict(df.dtypes)
+    if len(order) != 2 or types[order[0]] not in ("timestamp", "timestamp_ntz") or types[order[1]] not in ("int", "bigint"):
+        return None
+    at = F.col(order[0])
+    micros = F.unix_micros(from_naive_utc(at) if types[order[0]] == "timestamp_ntz" else at)
+    low = F.coalesce(F.col(order[1]).cast("bigint"), F.lit(-(1 << 63))).cast("decimal(20,0)") + F.lit(Decimal(1 << 63))
+    high = F.coalesce(micros, F.lit(-(1 << 61))).cast("decimal(19,0)") * F.lit(Decimal(1 << 64))
+    return (high + low).cast("decimal(38,0)")
+
+
 def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` unchanged, raising when a key occurs twice."""
     rest = [c for c in df.columns if c not in keys]
@@ -44,7 +64,7 @@ def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def top_per_group(
-    df: DataFrame, group: list[str], order: list[Column], n: int, tie: str, salts: int = 64
+    df: DataFrame, group: list[str], order: list[Column], n: int, tie: str
 ) -> DataFrame:
     """First ``n`` rows of each group with their rank; none for n <= 0.
 
@@ -54,8 +74,9 @@ def top_per_group(
     """
     if n <= 0:
         return df.withColumn("rank", F.lit(1)).filter(F.lit(False))
-    if n > _PRUNED_RANK:
-        salt = F.pmod(F.xxhash64(tie), F.lit(salts))
+    conf = df.sparkSession.conf
+    if n > int(conf.get(_PRUNED_RANK)):
+        salt = F.pmod(F.xxhash64(tie), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
         part = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = (
             df.withColumn("_salt", salt)

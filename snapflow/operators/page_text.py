@@ -20,16 +20,17 @@ _NO_TEXT = frozenset(("script", "style", "template"))
 
 # Markup in its regular form, one token at a time. A page with anything else in
 # it goes through the standard parser, which is several times slower.
-_ATTRIBUTE = r"""\s+([a-zA-Z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`/]+))?"""
+_SPACE = r"[ \t\n\r\f]"  # what separates attributes; a no-break space does not
+_ATTRIBUTE = rf"""{_SPACE}+([a-zA-Z_:][\w:.-]*)(?:{_SPACE}*={_SPACE}*("[^"]*"|'[^']*'|[^\s"'=<>`/]+))?"""
 _ATTRIBUTES = re.compile(_ATTRIBUTE)
 _TOKEN = re.compile(
     rf"""
       (?P<text>[^<]+)
-    | </(?P<end>[a-zA-Z][a-zA-Z0-9]*)\s*>
-    | <(?P<code>script|style)(?P<code_attrs>(?:{_ATTRIBUTE})*)\s*>
+    | </(?P<end>[a-zA-Z][a-zA-Z0-9]*){_SPACE}*>
+    | <(?P<code>script|style)(?P<code_attrs>(?:{_ATTRIBUTE})*){_SPACE}*>
       [^<]*(?:<(?!/(?i:script|style)|!--)[^<]*)*</(?P=code)> (?P<raw>)
     | <(?!(?i:script|style|textarea|title|iframe|xmp|noembed|noframes|noscript|plaintext)\b)
-      (?P<start>[a-zA-Z][a-zA-Z0-9]*)(?P<attrs>(?:{_ATTRIBUTE})*)\s*(?P<empty>/?)>
+      (?P<start>[a-zA-Z][a-zA-Z0-9]*)(?P<attrs>(?:{_ATTRIBUTE})*){_SPACE}*(?P<empty>/?)>
     | <title>(?P<title>[^<]*)</title>
     | <!--(?!-?>)[^-]*(?:-(?!-)[^-]*)*--> (?P<comment>)
     | <!(?i:doctype)[^<>]*>

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import batch_time, json_rows, or_zero, to_json_list, to_naive_utc
+from snapflow.operators.shard import ordinal
 from snapflow.operators.upsert import ACTION, INSERT, UPDATE
 from snapflow.schemas import LOG_SEASONS, LOG_SPIDS, LOG_TRAITS, RUN_LOG
 from snapflow.session import cut
@@ -34,13 +35,17 @@ def sync_log(
 ) -> DataFrame:
     """Log rows of a catalogue run.
 
-    One row while the new keys fit one list; a first load of any size is spread
-    over rows by key hash, so no single list holds them all. Readers concatenate
-    the lists of all sync rows of a run.
+    Lists keep the order of the ``place`` column, or of the key without one. One row
+    while the new keys fit one list; a first load of any size fills further rows,
+    numbered by ``seq``, so no single list holds them all. Readers concatenate the
+    lists of all sync rows of a run.
     """
     def inserted(merged: DataFrame, *cols: str) -> DataFrame:
         # counted and listed below, so the upsert behind it runs once
-        return cut(merged.filter(F.col(ACTION) == INSERT).select(*cols))
+        new = merged.filter(F.col(ACTION) == INSERT)
+        new = new if "place" in new.columns else new.withColumn("place", F.col(cols[0]))
+        numbered = ordinal(new.select(*cols, "place"), "place", cols[0], name="at")
+        return cut(numbered.withColumn("row", F.floor(F.col("at") / items).cast("int")).drop("place"))
 
     new_spids = inserted(catalogue, "spid")
     new_seasons = inserted(seasons, "season_id", "class_name")
@@ -50,10 +55,8 @@ def sync_log(
     rows = F.greatest(F.lit(1), F.ceil(total / items)).cast("int")
 
     def lists(df: DataFrame, key: str, item: Column, name: str, count: str) -> DataFrame:
-        row = F.pmod(F.xxhash64(key), rows).cast("int")
-        return df.groupBy(row.alias("row")).agg(
-            to_json_list(F.collect_list(item)).alias(name), F.count(F.lit(1)).alias(count)
-        )
+        in_order = F.transform(F.sort_array(F.collect_list(F.struct("at", item.alias("item")))), lambda x: x["item"])
+        return df.groupBy("row").agg(to_json_list(in_order).alias(name), F.count(F.lit(1)).alias(count))
 
     spark = catalogue.sparkSession
     return _as_log(
@@ -67,6 +70,7 @@ def sync_log(
         .select(
             F.lit(run_id).alias("run_id"),
             F.lit(SYNC).alias("phase"),
+            F.col("row").alias("seq"),
             or_zero(F.col("n")).alias("new_players"),
             F.coalesce("new_spids", F.lit("[]")).alias("new_spids"),
             F.coalesce("new_seasons", F.lit("[]")).alias("new_seasons"),

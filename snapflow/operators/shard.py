@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from snapflow.session import cut
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
-_TOP_K_LIMIT = 100_000
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -50,12 +49,12 @@ def ordinal(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
 
 
 def limit_keys(df: DataFrame, key: str, n: int) -> DataFrame:
-    """First ``n`` rows in key order; all rows for n <= 0. Applied before sharding."""
+    """First ``n`` rows in key order; all rows for n <= 0. Applied before sharding.
+
+    By position, so that no task gathers the n first rows of every other.
+    """
     if n <= 0:
         return df
-    if n <= _TOP_K_LIMIT:
-        return df.orderBy(key).limit(n)
-    # a top-k of this size would meet in one task
     return ordinal(df, key, name="_pos").filter(F.col("_pos") < n).drop("_pos")
 
 

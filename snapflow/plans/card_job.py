@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapflow.functions.hashing import content_hash
@@ -12,11 +12,11 @@ from snapflow.operators.dims import created_members, next_ids, resolve_ids
 from snapflow.operators.extract import extract_cards, split_valid
 from snapflow.operators.runlog import crawl_log, shard_counts
 from snapflow.operators.shard import with_shard
-from snapflow.operators.upsert import apply_card_changes, mark_done
+from snapflow.operators.upsert import ACTION, KEEP, apply_card_changes, mark_done
 from snapflow.schemas import PLAYERS, STAT_COLUMNS
 from snapflow.session import cut
 from snapflow.sources import snapshots
-from snapflow.sources.readers import with_page_keys
+from snapflow.sources.readers import for_keys, with_page_keys
 
 NATION, TRAIT, TEAM_COLOR = DIMENSIONS = ("nation", "trait", "team_color")
 
@@ -156,6 +156,13 @@ def card_records(pages: DataFrame, targets: DataFrame | None = None) -> DataFram
     )
 
 
+def one_per_card(records: DataFrame) -> DataFrame:
+    """The last landed record of each card, by page id; records without a card key are all kept."""
+    last = Window.partitionBy("spid").orderBy(F.desc_nulls_last("page_id"), F.xxhash64("name", "error", "main_ovr"))
+    keyed = records.filter(F.col("spid").isNotNull()).withColumn("_n", F.row_number().over(last))
+    return keyed.filter("_n = 1").drop("_n").unionByName(records.filter(F.col("spid").isNull()))
+
+
 def run_card_job(
     pages: DataFrame,
     players: DataFrame,
@@ -166,15 +173,18 @@ def run_card_job(
     shards: int = 1,
     targets: DataFrame | None = None,
 ) -> CardRun:
-    """One run over the landed pages of the target cards, one page per card.
+    """One run over the landed pages of the target cards.
 
-    A bad page becomes a reject and its card stays undone; all others are marked
-    done whether they changed or not.
+    Of several pages of a card the last counts. A bad page becomes a reject and its
+    card stays undone; all others are marked done whether they changed or not. A page
+    without a card key is a failure of shard 0 and has no place in the shard order.
+    Only known cards among the landed ones are read and compared; the others stay as
+    they are.
     """
     # parsed once: the records feed the dimensions, the write and the log
-    records = cut(card_records(pages, targets))
+    records = cut(one_per_card(card_records(pages, targets)))
     valid, rejects = split_valid(records)
-    shard_of = with_shard(records.select("spid").distinct(), "spid", shards)
+    shard_of = with_shard(records.select("spid").filter(F.col("spid").isNotNull()).distinct(), "spid", shards)
 
     created = created_members(
         members, member_candidates(valid), ["attribute"], ["page_id", "pos"],
@@ -182,7 +192,8 @@ def run_card_job(
     )
     grown = members.unionByName(created)
     cards = with_surrogate_ids(hashed_cards(with_ids(valid, grown)), players)
-    merged = cut(apply_card_changes(players, cards, now))
+    landed = cut(apply_card_changes(for_keys(players, valid), cards, now))
+    others = players.join(landed.select("spid"), "spid", "left_anti").withColumn(ACTION, F.lit(KEEP))
 
     # one row per shard and name before the join, however many cards share a trait
     used = (
@@ -192,9 +203,10 @@ def run_card_job(
     )
     by_shard = used.join(dimension(created, TRAIT), "name").select("shard", "id", "name")
 
-    counts = shard_counts(merged.join(shard_of, "spid"), rejects.join(shard_of, "spid", "left"))
+    failed = rejects.join(shard_of, "spid", "left").withColumn("shard", F.coalesce("shard", F.lit(0)))
+    counts = shard_counts(landed.join(shard_of, "spid"), failed)
     return CardRun(
-        players=merged,
+        players=landed.unionByName(others),
         members=grown,
         rejects=rejects,
         spid=mark_done(spid, valid.select("spid"), now),

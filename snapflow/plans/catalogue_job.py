@@ -21,11 +21,25 @@ class CatalogueRun:
     log: DataFrame       # sync rows
 
 
-def leading(catalogue: DataFrame, n: int) -> DataFrame:
-    """First ``n`` entries in source order; all of them for n <= 0."""
-    if n <= 0:
+def placed(catalogue: DataFrame) -> DataFrame:
+    """Entries with their place in the source; a frame that no reader placed is taken in partition order."""
+    if "place" in catalogue.columns:
         return catalogue
-    return limit_keys(catalogue.withColumn("_at", F.monotonically_increasing_id()), "_at", n).drop("_at")
+    return catalogue.withColumn("place", F.monotonically_increasing_id())
+
+
+def leading(catalogue: DataFrame, n: int) -> DataFrame:
+    """First ``n`` entries in source order, with their place; all of them for n <= 0."""
+    return limit_keys(placed(catalogue), "place", n)
+
+
+def last_of_each(catalogue: DataFrame, key: str) -> DataFrame:
+    """One entry per key, the last in source order; null keys are left out."""
+    rest = [c for c in catalogue.columns if c not in (key, "place")]
+    grouped = catalogue.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.max_by(F.struct(*rest), "place").alias("_row"), F.max("place").alias("place")
+    )
+    return grouped.select(key, "_row.*", "place")
 
 
 def run_catalogue_job(
@@ -37,10 +51,20 @@ def run_catalogue_job(
     now,
     limit: int = 0,
 ) -> CatalogueRun:
-    """Upsert both catalogues; runs once before the card job of the same run."""
-    merged = cut(upsert_catalogue(spid, leading(cards, limit)))
-    merged_seasons = cut(upsert_seasons(season_table, seasons))
-    return CatalogueRun(merged, merged_seasons, sync_log(merged, merged_seasons, run_id, now))
+    """Upsert both catalogues; runs once before the card job of the same run.
+
+    Of several entries of a key the last counts. Lists are logged in source order.
+    """
+    card_batch = cut(last_of_each(leading(cards, limit), "spid"))
+    season_batch = cut(last_of_each(placed(seasons), "season_id"))
+    merged = cut(upsert_catalogue(spid, card_batch.drop("place")))
+    merged_seasons = cut(upsert_seasons(season_table, season_batch.drop("place")))
+    log = sync_log(
+        merged.join(card_batch.select("spid", "place"), "spid", "left"),
+        merged_seasons.join(season_batch.select("season_id", "place"), "season_id", "left"),
+        run_id, now,
+    )
+    return CatalogueRun(merged, merged_seasons, log)
 
 
 def card_targets(spid: DataFrame, only_new: bool = False, limit: int = 0) -> DataFrame:

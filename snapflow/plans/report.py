@@ -16,6 +16,7 @@ from snapflow.operators.runlog import (
     run_totals,
 )
 from snapflow.operators.shard import ordinal
+from snapflow.session import cut
 from snapflow.sources.readers import for_keys
 
 TRAITS_SHOWN, SEASONS_SHOWN = 5, 3  # fixed values
@@ -50,7 +51,7 @@ def top_changed(players: DataFrame, seasons: DataFrame, log: DataFrame, n: int)
     return _labelled(top_cards(changed_since(players, since).filter(changed > 0), n), seasons)
 
 
-def changed_in_runs(players: DataFrame, log: DataFrame, salts: int = 16) -> DataFrame:
+def changed_in_runs(players: DataFrame, log: DataFrame) -> DataFrame:
     """(run_id, card) for each card the run changed, all runs at once.
 
     A card belongs to the last run started at or before its write. The runs are
@@ -59,6 +60,7 @@ def changed_in_runs(players: DataFrame, log: DataFrame, salts: int = 16) -> Data
     its cards within an hour, so cards of one hour are salted over several tasks
     and the few run rows repeated for each.
     """
+    salts = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = ordinal(run_since(log), "since", "run_id", name="n")
     following = runs.select((F.col("n") - 1).alias("n"), F.col("since").alias("until"))
     last_write = players.agg(F.max("updated_at")).scalar()
@@ -100,6 +102,7 @@ def _in_order(rows: DataFrame, place: Column, item: Column, name: str) -> DataFr
 
 def _first_names(rows: DataFrame, at: str, name: Column, n: int, count: str, shown: str) -> DataFrame:
     """Per run, how many rows there are and the names of the first n."""
+    rows = cut(rows)  # the lists are parsed once for both
     counts = rows.groupBy("run_id").agg(F.count(F.lit(1)).alias(count))
     first = top_per_group(rows.withColumn("_name", name), ["run_id"], [F.asc(at)], n, tie=at)
     return counts.join(_in_order(first, F.col("rank"), F.col("_name"), shown), "run_id", "left")
@@ -124,7 +127,7 @@ def run_summary(
         logged_seasons(log, order), "at", F.coalesce("class_name", F.lit("?")), SEASONS_SHOWN,
         "new_seasons", "season_names",
     )
-    spids = logged_spids(log)
+    spids = cut(logged_spids(log))
     spid_counts = spids.groupBy("run_id").agg(F.count(F.lit(1)).alias("new_spid_count"))
     fresh = spids.distinct().join(
         players.select("spid", "name", "season_id", "main_ovr"), "spid"

@@ -336,8 +336,8 @@ acted AS (
 """
 
 
-def _card_run(spark, sf_dir):
-    """Pages applied to the cards of an earlier run over nine tenths of them."""
+def _card_run(spark, sf_dir, landed=lambda pages: pages):
+    """Pages applied to the cards of an earlier run over nine tenths of them; ``landed`` adds pages."""
     empty = as_members(*[spark.createDataFrame([], s) for s in (NATIONS, TRAITS, TEAM_COLORS)])
     no_players = spark.createDataFrame([], PLAYERS)
     catalogue = table(spark, sf_dir, "part").select(
@@ -348,7 +348,7 @@ def _card_run(spark, sf_dir):
     earlier = card_pages(spark, sf_dir, size).filter(F.col("page_id") % 10 != 9)
     first = run_card_job(earlier, no_players, catalogue, empty, "20240101", CREATED, shards=4)
     return run_card_job(
-        card_pages(spark, sf_dir), first.players.drop(ACTION), catalogue, first.members,
+        landed(card_pages(spark, sf_dir)), first.players.drop(ACTION), catalogue, first.members,
         "20240108", NOW, shards=4,
     )
 
@@ -364,6 +364,30 @@ def card_run_log(spark, sf_dir):
     return _card_run(spark, sf_dir).log.select("shard", "new_players", "changed", "failures")
 
 
+@query(f"""{RUN_SQL}
+SELECT shard, count(*) FILTER (WHERE action = 'insert') AS new_players,
+       count(*) FILTER (WHERE action = 'update') AS changed,
+       count(*) FILTER (WHERE action = 'reject') + CASE WHEN shard = 0 THEN (SELECT count(*) FROM cards WHERE page_id % 50 = 0) ELSE 0 END AS failures
+FROM acted GROUP BY shard
+""")
+def card_run_log_twice_landed(spark, sf_dir):
+    """Every page landed twice counts once; pages without a card key are failures of the first shard."""
+    def landed(pages):
+        lost = pages.filter(F.col("page_id") % 50 == 0).withColumn("url", F.lit("https://cards.example.com/none"))
+        return pages.unionByName(pages).unionByName(lost)
+
+    return _card_run(spark, sf_dir, landed).log.select("shard", "new_players", "changed", "failures")
+
+
+@query(f"""{RUN_SQL}
+SELECT spid, count(*) AS n_rows, any_value(main_ovr) AS main_ovr FROM acted WHERE action <> 'reject' GROUP BY spid
+""")
+def card_run_state_twice_landed(spark, sf_dir):
+    """Every page landed twice leaves one row per card."""
+    players = _card_run(spark, sf_dir, lambda pages: pages.unionByName(pages)).players
+    return players.groupBy("spid").agg(F.count(F.lit(1)).alias("n_rows"), F.any_value("main_ovr").alias("main_ovr"))
+
+
 @query(f"""{RUN_SQL}
 SELECT spid, name, main_ovr, CASE WHEN absent THEN '2024-01-08' ELSE '2024-01-01' END AS created_on,
        CASE WHEN action = 'skip' THEN '2024-01-01' ELSE '2024-01-08' END AS updated_on,

@@ -19,7 +19,7 @@ from snapflow.operators.shard import (
     with_shard,
 )
 from snapflow.operators.upsert import ACTION, changes, mark_done, upsert_catalogue, upsert_seasons
-from snapflow.plans.catalogue_job import card_targets, run_catalogue_job
+from snapflow.plans.catalogue_job import card_targets, leading, run_catalogue_job
 from snapflow.plans.price_job import work_list
 from snapflow.queries.registry import query, table
 from snapflow.session import work_dir
@@ -153,7 +153,7 @@ def card_catalogue_json(spark, sf_dir):
     """Catalogue written and read as JSON lines."""
     path = work_dir(spark, "catalogue")
     _customers(spark, sf_dir).withColumnRenamed("spid", "id").write.json(path)
-    return read_card_catalogue(spark, path, lines=True)
+    return read_card_catalogue(spark, path, lines=True).drop("place")
 
 
 @query("""
@@ -168,7 +168,63 @@ def season_catalogue_json(spark, sf_dir):
         F.concat("n_name", F.lit(" (Nation "), key, F.lit(")")).alias("className"),
         F.when(key % 5 != 0, F.concat(F.lit("/s/"), "n_regionkey", F.lit(".png"))).alias("seasonImg"),
     ).write.json(path)
-    return read_season_catalogue(spark, path, lines=True)
+    return read_season_catalogue(spark, path, lines=True).drop("place")
+
+
+def _array_file(rows: DataFrame, path: str) -> None:
+    """One file with one JSON array, the form the catalogues are published in."""
+    rows.agg(F.to_json(F.collect_list(F.struct("*")))).coalesce(1).write.text(path)
+
+
+@query("SELECT s_suppkey AS spid, s_name AS name FROM supplier")
+def card_catalogue_array(spark, sf_dir):
+    path = work_dir(spark, "catalogue")
+    _array_file(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), path)
+    return read_card_catalogue(spark, path).drop("place")
+
+
+@query("SELECT n_nationkey AS season_id, n_name AS class_name, '/s/' || n_regionkey AS season_img FROM nation")
+def season_catalogue_array(spark, sf_dir):
+    path = work_dir(spark, "seasons")
+    nation = table(spark, sf_dir, "nation")
+    _array_file(nation.select(F.col("n_nationkey").alias("seasonId"), F.col("n_name").alias("className"), F.concat(F.lit("/s/"), "n_regionkey").alias("seasonImg")), path)
+    return read_season_catalogue(spark, path).drop("place")
+
+
+@query("SELECT c_custkey AS spid, c_name AS name FROM customer ORDER BY c_custkey LIMIT 90")
+def leading_catalogue(spark, sf_dir):
+    """First entries in the order of several JSON-lines files."""
+    path = work_dir(spark, "catalogue")
+    rows = _customers(spark, sf_dir).withColumnRenamed("spid", "id")
+    rows.repartitionByRange(3, "id").sortWithinPartitions("id").write.json(path)
+    return leading(read_card_catalogue(spark, path, lines=True), 90).select("spid", "name")
+
+
+@query(f"""{CATALOGUE_SQL}
+SELECT spid, name, CASE WHEN action = 'insert' THEN 0 ELSE CAST(old_crawled AS INTEGER) END AS crawled, action FROM m
+""")
+def catalogue_entries_twice(spark, sf_dir):
+    """A catalogue with two entries of every key: the last one counts, and once."""
+    state, batch = _catalogue(spark, sf_dir)
+    _, season_batch = _season_versions(spark, sf_dir)
+    first = batch.withColumn("name", F.concat(F.lit("earlier "), "name")).withColumn("place", F.struct(F.lit(0).alias("n"), "spid"))
+    entries = first.unionByName(batch.withColumn("place", F.struct(F.lit(1).alias("n"), "spid")))
+    run = run_catalogue_job(entries, season_batch, state, season_batch.limit(0), "20240108", NOW)
+    return run.spid.select("spid", "name", F.col("crawled").cast("int").alias("crawled"), ACTION)
+
+
+@query("""
+SELECT to_json(list({'season_id': season_id, 'class_name': class_name} ORDER BY p_partkey DESC)) AS new_seasons
+FROM (SELECT p_partkey, CAST(p_partkey AS INTEGER) AS season_id,
+             p_type || CASE WHEN p_partkey % 13 = 0 THEN ' X' ELSE '' END AS class_name FROM part WHERE p_partkey % 10 = 9)
+""")
+def logged_seasons_in_order(spark, sf_dir):
+    """New seasons are logged in the order of their source, here by falling key."""
+    state, batch = _season_versions(spark, sf_dir)
+    spid_state, spid_batch = _catalogue(spark, sf_dir)
+    entries = batch.withColumn("place", -F.col("season_id"))
+    run = run_catalogue_job(spid_batch, entries, spid_state, state, "20240108", NOW)
+    return run.log.filter("seq = 0").select("new_seasons")
 
 
 DONE_SQL = """

@@ -17,6 +17,7 @@ from snapflow.functions.scalars import (
 from snapflow.operators.extract import extract_cards, map_labels, split_valid
 from snapflow.queries.registry import query, table
 from snapflow.schemas import STAT_LABELS
+from snapflow.sources.readers import read_pages
 
 
 @query("""
@@ -188,3 +189,11 @@ def page_links(spark, sf_dir):
     return ok.select("page_id", F.posexplode("traits").alias("pos", "t")).select(
         "page_id", F.col("t.name").alias("name"), F.col("t.image_url").alias("url"), F.col("pos").cast("bigint").alias("pos")
     )
+
+
+@query("SELECT page_id, url, length(html) AS n_chars FROM pages")
+def landed_pages(spark, sf_dir):
+    """Raw pages as a table."""
+    return read_pages(spark, f"{sf_dir}/pages.parquet").select(
+        "page_id", "url", F.length("html").cast("bigint").alias("n_chars")
+    )

@@ -57,11 +57,6 @@ NATIONS = "id int, name string, image_url string"
 TRAITS = "id int, name string, image_url string"
 TEAM_COLORS = "id int, name string, team_color_type string"
 
-CARD_CONTENT = [
-    "name", "season_id", "nation_id", "main_position", "sub_positions", "main_ovr",
-    "pay", "height", "weight", "body_type", "skill_moves", "weak_foot",
-    "preferred_foot", "trait_ids", "team_color_ids",
-]
 PLAYERS = (
     "id bigint, spid bigint, name string, season_id int, nation_id int, main_position string, "
     "sub_positions array<string>, main_ovr int, pay int, height int, weight int, "
@@ -77,7 +72,7 @@ LOG_SPIDS = "array<bigint>"
 RUN_LOG = (
     "run_id string, phase string, shard int, new_players bigint, changed bigint, "
     "failures bigint, new_traits string, new_seasons string, new_spids string, "
-    "created_at timestamp"
+    "created_at timestamp, seq int"
 )
 
 # What the page parser hands to Spark: raw text only, typed by column expressions.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow import schemas
@@ -20,13 +20,21 @@ def with_page_keys(pages: DataFrame) -> DataFrame:
     )
 
 
+def _place() -> Column:
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias("place")
+
+
 def read_card_catalogue(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Catalogue of (spid, name), a JSON array or, for large ones, JSON lines.
+    """Catalogue of (spid, name, place), a JSON array or, for large ones, JSON lines.
 
-    An array file is one split; JSON lines are read in parallel.
+    An array file is one split; JSON lines are read in parallel. ``place`` orders the
+    entries as the files have them: by file, split and row.
     """
     raw = spark.read.schema(schemas.CARD_CATALOGUE).option("multiLine", not lines).json(path)
-    return raw.select(F.col("id").alias("spid"), "name")
+    return raw.select(F.col("id").alias("spid"), "name", _place())
 
 
 def read_season_catalogue(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -35,6 +43,7 @@ def read_season_catalogue(spark: SparkSession, path: str, lines: bool = False) -
         F.col("seasonId").alias("season_id"),
         F.col("className").alias("class_name"),
         F.col("seasonImg").alias("season_img"),
+        _place(),
     )
 
 

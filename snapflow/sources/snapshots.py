@@ -136,14 +136,14 @@ def commit(
             if seen is not None:
                 return version
         hit = {r[BUCKET] for r in part}
-        if not hit and commit_id is None:
+        if not hit:  # nothing to replay either
             return version
 
         version += 1
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
         def merged(hit: set[int]) -> DataFrame:
-            slices = -(-tasks // max(len(hit), 1))
+            slices = -(-tasks // len(hit))
             part = F.pmod(F.floor(F.pmod(F.xxhash64(*keys), F.lit(buckets * slices)) / buckets), F.lit(slices)).cast("int")
             state = _read(spark, root, schema, [p for p in current if p.bucket in hit]).withColumn(BUCKET, bucket_of(keys, buckets))
             new = batch.filter(F.col(BUCKET).isin(hit))
@@ -151,7 +151,7 @@ def commit(
             return merge(*sides, [BUCKET, SLICE, *keys])
 
         with session_conf(spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
-            actions = merged(hit).groupBy(BUCKET, ACTION).agg(F.count(F.lit(1)).alias("n")).collect() if hit else []
+            actions = merged(hit).groupBy(BUCKET, ACTION).agg(F.count(F.lit(1)).alias("n")).collect()
             changed = {r[BUCKET] for r in actions if r[ACTION] in WRITTEN}
             if changed:
                 rows = merged(changed).drop(SLICE)
