@@ -2,14 +2,17 @@
 
 A vector is cut into slices of dimensions, each held by nodes of its own; a score
 is the sum of its slice scores. Phase 1 gathers each slice's best entries of a
-query; sums of what is known give a lower bound of the k-th score, and that bound
-by the number of slices is a cutoff no winner can miss in all slices. Phase 2
+query, whose exact sums give a lower bound of the k-th score, and that bound
+split evenly over the slices is a cutoff no winner can miss in all of them. Phase 2
 collects every entry at or above the cutoff. Phase 3 drops candidates whose upper
 bound is too low and resolves the missing slice scores of the rest exactly.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -148,6 +151,16 @@ def _collected(nodes, cutoffs: DataFrame) -> DataFrame:
     return queries_of(points, queries, run, "slice int, q long, c long, s long")
 
 
+def _resolved(pairs: DataFrame, cls: DataFrame) -> DataFrame:
+    """Exact scores of pairs of classes (q, c)."""
+    product = F.aggregate(F.zip_with("vq", "vc", lambda x, y: x * y), F.lit(0).cast("long"), lambda t, x: t + x)
+    return (
+        pairs.join(cls.select(F.col("cls").alias("q"), F.col("v").alias("vq")), "q")
+        .join(cls.select(F.col("cls").alias("c"), F.col("v").alias("vc")), "c")
+        .select("q", "c", product.alias("score"))
+    )
+
+
 def top_k(vectors: DataFrame, k: int, is_query, key: str = "vec_id", vector: str = "embedding", slices: int = SLICES) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest scores of each query, its own row left out.
 
@@ -173,22 +186,21 @@ def top_k(vectors: DataFrame, k: int, is_query, key: str = "vec_id", vector: str
     nodes = _nodes(cls, queries, width, slices)
     keep = k + 1
 
-    # phase 1: scores above the slice's lowest, so that none is below zero
+    # phase 1: the entries met are resolved at once, as the bound of a sum with unknown, possibly negative parts is loose
     lists = cut(_lists(nodes, keep))
-    low = lists.groupBy("q", "slice").agg(F.min("low").alias("low"))
-    lows = low.groupBy("q").agg(F.map_from_entries(F.collect_list(F.struct("slice", "low"))).alias("lows"))
-    known = lists.join(low.withColumnRenamed("low", "base"), ["q", "slice"]).groupBy("q", "c").agg(F.sum(F.col("s") - F.col("base")).alias("s"))
-    rank = Window.partitionBy("q").orderBy(F.desc("s"))
-    bound = known.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= keep).groupBy("q").agg(
-        F.min("s").alias("least"), F.count(F.lit(1)).alias("n")
+    lows = lists.groupBy("q").pivot("slice", list(range(slices))).agg(F.min("low"))
+    met = _resolved(lists.select("q", "c").distinct(), cls)
+    rank = Window.partitionBy("q").orderBy(F.desc("score"))
+    bound = met.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= keep).groupBy("q").agg(
+        F.min("score").alias("least"), F.count(F.lit(1)).alias("n")
     )
-    # fewer than k + 1 entries bound nothing; else an entry under least/slices everywhere sums to less than least
-    share = F.when(F.col("n") >= keep, F.floor((F.col("least") + (slices - 1)) / slices)).otherwise(F.lit(0))
+    # above the slices' lowest scores, an entry under 1/slices of the rest everywhere sums to less than ``least``
+    low = [F.col(str(s)) for s in range(slices)]
+    rest = F.col("least") - reduce(add, low)
+    share = F.when(F.col("n") >= keep, F.floor((rest + (slices - 1)) / slices)).otherwise(F.lit(0)).cast("long")
     cutoffs = cut(
         lows.join(bound, "q").select(
-            F.col("q").alias("cls"),
-            F.array(*[share.cast("long") + F.col("lows")[s] for s in range(slices)]).alias("cutoffs"),
-            F.array(*[F.col("lows")[s] for s in range(slices)]).alias("lows"),
+            F.col("q").alias("cls"), F.array(*[share + x for x in low]).alias("cutoffs"), F.array(*low).alias("lows")
         )
     )
 
@@ -205,16 +217,10 @@ def top_k(vectors: DataFrame, k: int, is_query, key: str = "vec_id", vector: str
     by_lower = Window.partitionBy("q").orderBy(F.desc("lower"))
     safe = bounds.withColumn("r", F.row_number().over(by_lower)).filter(F.col("r") == keep).select("q", F.col("lower").alias("safe"))
     alive = bounds.join(safe, "q", "left").filter(F.col("safe").isNull() | (F.col("upper") >= F.col("safe")))
-    part = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda t, x: t + x)
     whole = F.size("have") == slices
-    resolved = alive.select("q", "c", whole.alias("whole"), "lower")
-    missing = (
-        resolved.filter(~F.col("whole"))
-        .join(cls.select(F.col("cls").alias("q"), F.col("v").alias("vq")), "q")
-        .join(cls.select(F.col("cls").alias("c"), F.col("v").alias("vc")), "c")
-        .select("q", "c", part("vq", "vc").alias("score"))
-    )
-    scored = resolved.filter("whole").select("q", "c", F.col("lower").alias("score")).unionByName(missing)
+    alive = alive.select("q", "c", whole.alias("whole"), "lower")
+    missing = _resolved(alive.filter(~F.col("whole")).select("q", "c"), cls)
+    scored = alive.filter("whole").select("q", "c", F.col("lower").alias("score")).unionByName(missing)
 
     # classes to ids: ties of classes are settled by id, so all classes that reach the list are kept
     by_score = Window.partitionBy("q").orderBy(F.desc("score"))
