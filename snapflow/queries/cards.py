@@ -14,9 +14,11 @@ from snapflow.operators.runlog import shard_counts
 from snapflow.operators.shard import with_shard
 from snapflow.operators.upsert import ACTION, apply_card_changes, classify
 from snapflow.plans.card_job import TRAIT, as_members, dimension, member_candidates, run_card_job
+from snapflow.plans.kept_tables import add_to_catalogue, read_kept, run_kept_card_job
 from snapflow.queries.registry import query, spread, table
 from snapflow.schemas import NATIONS, PLAYERS, SPID, STAT_COLUMNS, STAT_LABELS, TEAM_COLORS, TRAITS
-from snapflow.sources.readers import existing_state
+from snapflow.session import work_dir
+from snapflow.sources.readers import existing_state, read_run_log
 
 CREATED, NOW = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8)
 
@@ -411,3 +413,44 @@ def card_run_marks(spark, sf_dir):
     return _card_run(spark, sf_dir).spid.groupBy(F.col("crawled").cast("int").alias("crawled")).agg(
         F.count(F.lit(1)).alias("cards"), F.count("crawled_at").alias("stamped")
     )
+
+
+def _kept_runs(spark, sf_dir) -> str:
+    """Two runs on kept tables, the second over all pages; the folder of the tables."""
+    store = work_dir(spark, "store")
+    catalogue = table(spark, sf_dir, "part").select(card_key(F.col("p_partkey")).alias("spid"), F.col("p_name").alias("name"))
+    add_to_catalogue(catalogue, store, "20240101/sync", buckets=4)
+    size = F.col("p_size") - F.when(F.col("p_partkey") % 7 == 3, 1).otherwise(0)
+    earlier = card_pages(spark, sf_dir, size).filter(F.col("page_id") % 10 != 9)
+    run_kept_card_job(earlier, store, "20240101", CREATED, shards=4, buckets=4)
+    run_kept_card_job(card_pages(spark, sf_dir), store, "20240108", NOW, shards=4, buckets=4)
+    return store
+
+
+@query(f"""{RUN_SQL}
+SELECT spid, name, main_ovr, CASE WHEN absent THEN '2024-01-08' ELSE '2024-01-01' END AS created_on,
+       CASE WHEN action = 'skip' THEN '2024-01-01' ELSE '2024-01-08' END AS updated_on,
+       CASE WHEN action = 'update' THEN 1 END AS ovr_change, 64 AS hash_length
+FROM acted WHERE action <> 'reject'
+""")
+def kept_players(spark, sf_dir):
+    """Players read back after two runs on kept tables."""
+    return read_kept(spark, _kept_runs(spark, sf_dir), "players").select(
+        "spid", "name", "main_ovr", F.date_format("created_at", "yyyy-MM-dd").alias("created_on"),
+        F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"), "ovr_change",
+        F.length("content_hash").alias("hash_length"),
+    )
+
+
+@query(f"""{RUN_SQL}
+SELECT '20240108' AS run_id, shard, count(*) FILTER (WHERE action = 'insert') AS new_players,
+       count(*) FILTER (WHERE action = 'update') AS changed, count(*) FILTER (WHERE action = 'reject') AS failures
+FROM acted GROUP BY shard
+UNION ALL
+SELECT '20240101', CAST(pos % 4 AS INTEGER), count(*) FILTER (WHERE error IS NULL), 0, count(*) FILTER (WHERE error IS NOT NULL)
+FROM (SELECT *, row_number() OVER (ORDER BY spid) - 1 AS pos FROM cards WHERE page_id % 10 <> 9) GROUP BY 2
+""")
+def kept_run_log(spark, sf_dir):
+    """The log of both runs read back from storage."""
+    log = read_run_log(spark, f"{_kept_runs(spark, sf_dir)}/log")
+    return log.select("run_id", "shard", "new_players", "changed", "failures")
