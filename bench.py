@@ -7,7 +7,7 @@ import os
 import time
 
 from snapflow.queries import QUERIES
-from snapflow.session import build_session
+from snapflow.session import build_session, drop_work
 
 HEADLINE = [
     "latest_price_per_pair",
@@ -51,6 +51,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        drop_work(spark)
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_made: list[str] = []  # folders handed out by this process
 
 SESSION_CONF = {
     # naive-UTC columns are compared with instants, so the zone must be fixed
@@ -53,7 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder path under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Remove the folders handed out so far; for when no frame that reads them is needed any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from snapflow.operators.runlog import (
     sync_counts,
     sync_log,
 )
+from snapflow.plans.price_job import commit_prices
 from snapflow.operators.shard import limit_keys, ordinal, stride_shard, union_shards, with_shard
 from snapflow.operators.upsert import upsert_catalogue, upsert_latest, upsert_seasons
 from snapflow.plans.report import run_message, run_summary, top_changed, top_new
@@ -226,6 +227,33 @@ def test_commit_rewrites_only_touched_buckets(spark, tmp_path):
     assert snapshots.read_snapshot(spark, str(tmp_path / "none"), PRICE_LATEST).count() == 0
 
 
+def test_commit_ids(spark, tmp_path):
+    root, keys = str(tmp_path / "t"), ["spid", "strong"]
+
+    def put(price, commit_id, day):
+        rows_of = spark.createDataFrame([(1, 1, price, None), (2, 1, 5, None)], BATCH)
+        return snapshots.commit(rows_of, root, PRICE_LATEST, keys, merge(T(2024, 1, day)), 4, commit_id, ("strong",), ("price",))
+
+    assert [put(10, "a", 1), put(20, "b", 2), put(10, "a", 3), put(20, "c", 4)] == [1, 2, 2, 3]
+    assert rows(snapshots.read_snapshot(spark, root, PRICE_LATEST), "spid", "price") == [(1, 20), (2, 5)]
+    assert rows(snapshots.read_snapshot(spark, root, PRICE_LATEST, 1), "spid", "price") == [(1, 10), (2, 5)]
+    # what changes nothing adds no data, and one changed row rewrites its bucket only
+    assert {p.data_version for p in snapshots.manifest(spark, root)} <= {1, 2}
+    with pytest.raises(ValueError, match="other rows"):
+        put(30, "b", 5)
+    assert snapshots.commit_counts(spark, root, 3).first().asDict() == {"attempted": 2, "insert": 0, "update": 0, "skip": 2}
+
+
+def test_search_reads_the_kept_layout(spark, tmp_path):
+    root = str(tmp_path / "t")
+    prices = spark.range(300).selectExpr("id AS spid", "CAST(id % 13 + 1 AS smallint) AS strong", "id * 10 AS price", "CAST(NULL AS date) AS price_date")
+    commit_prices(prices, root, T(2024, 1, 1), "r/0", buckets=2)
+    found = snapshots.search(snapshots.read_snapshot(spark, root, PRICE_LATEST), 3, 100, 1000)
+    assert rows(found, "spid") == [(i,) for i in range(300) if i % 13 == 2 and 100 <= i * 10 <= 1000]
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(strong" in plan and "GreaterThanOrEqual(price,100)" in plan
+
+
 def test_commit_leaves_the_session_settings_alone(spark, tmp_path):
     key = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(key, None)
