@@ -226,8 +226,8 @@ def read_archives(index: DataFrame, root: str, payloads: bool = False) -> DataFr
     One task reads a bundle frame by frame. Payloads are returned on request only.
     """
     tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # by number, as names are too few bytes for the adaptive plan to keep them apart
-    bundles = index.select("bundle").distinct().repartition(tasks, "bundle")
+    # in turn, as names are too few bytes for the adaptive plan to keep them apart
+    bundles = index.select("bundle").distinct().repartition(tasks)
 
     def read(batches):
         for batch in batches:
