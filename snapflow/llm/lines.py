@@ -81,8 +81,10 @@ def _named(rows: DataFrame, *key: str) -> DataFrame:
     """Rows whose key is met again, with ``name``, the first place of the key.
 
     Copies are combined before the shuffle; a very common key is one key of an
-    equi-join, which adaptive execution splits.
+    equi-join, which adaptive execution splits. The rows are written, as both sides
+    read them, and so that no plan holds the rounds before.
     """
+    rows = cut(rows)
     names = rows.groupBy(*key).agg(F.min("at").alias("name"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     return rows.join(names.select(*key, "name"), list(key))
 
@@ -94,7 +96,7 @@ def repeated_runs(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     one document.
     """
     docs = texts.select("did", "tkey").distinct()
-    numbers = ordinal(docs, "did", "tkey", name="doc")
+    numbers = cut(ordinal(docs, "did", "tkey", name="doc"))
     rows = texts.select("did", "tkey", "text").mapInArrow(
         _line_rows(min_words), "did long, tkey long, line int, h1 long, h2 long, run_on int, run_upto int"
     )
@@ -115,7 +117,8 @@ def repeated_runs(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         head = level.select("at", F.col("name").alias("a"))
         tail = level.select((F.col("at") + h).alias("end"), F.col("name").alias("b"))
         ends = here.join(head, "at").withColumn("end", F.col("at") + F.col("n")).join(tail, "end")
-        copies.append(_named(ends.select("at", "n", "a", "b"), "n", "a", "b").filter(F.col("at") > F.col("name")).select("at", "n"))
+        # written, so that the last plan does not hold the rounds again
+        copies.append(cut(_named(ends.select("at", "n", "a", "b"), "n", "a", "b").filter(F.col("at") > F.col("name")).select("at", "n")))
         h *= 2
         if h > longest:
             break
