@@ -169,9 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids
         .select("doc_id", "label", vector("text", "n_chars").alias("f"))
         .dropDuplicates(["doc_id"]).orderBy("doc_id").limit(sample)
-        .collect()
+        .select("label", "f.ids", "f.x").toArrow()  # arrays, not objects, on the driver
     )
-    return fit([(np.asarray(r.f.ids, np.int64), np.asarray(r.f.x, np.float64), int(r.label)) for r in rows])
+    found = zip(*(rows[c].to_numpy() for c in ("ids", "x", "label")))
+    return fit([(np.asarray(i, np.int64), np.asarray(x, np.float64), int(label)) for i, x, label in found])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", n_chars: str = "n_chars") -> Column:
