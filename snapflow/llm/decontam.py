@@ -91,8 +91,9 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = WORDS, contained: f
     wanted = cut(pairs.groupBy("did", "tkey").agg(F.collect_list(F.struct("item_id", "shingles", "n", "need")).alias("items")))
     wanted = wanted.withColumnsRenamed({"did": "d", "tkey": "t"})
     same = F.col("did").eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("t"))
-    # a document's shingles are made once, whatever the number of items it may hold
-    held = rows.join(wanted, same).select("did", "items", words("text").alias("w")).select("did", "items", shingles(F.col("w"), k).alias("held"))
+    # a document's shingles are made once, whatever the number of items it may hold; the list
+    # of documents grows with the table, so the join is by shuffle at every size
+    held = rows.join(wanted.hint("shuffle_hash"), same).select("did", "items", words("text").alias("w")).select("did", "items", shingles(F.col("w"), k).alias("held"))
     each = held.select("did", "held", F.explode("items").alias("i"))
     checked = each.select(
         F.col("did").alias("doc_id"), "i.item_id", "i.n", "i.need", F.size(F.array_intersect("i.shingles", "held")).alias("n_shared")
