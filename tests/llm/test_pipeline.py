@@ -86,5 +86,28 @@ def test_stages_on_odd_rows(spark):
         corpus_pipeline.STAGES[-1][1](spark, data, SF).collect()
 
 
-def test_columns_of_every_operator():
+CONTRACTS = {
+    "op2_warc_bundles": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
+    "op3_byte_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op5_quality_classifier": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op6_simhash_near_dedup": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op7_chat_formatting": {
+        "conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string",
+        "formatted_chars": "bigint", "n_tokens": "bigint",
+    },
+    "op8_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_contract(spark, name):
+    got = QUERIES[name](spark, SF)
+    assert dict(got.dtypes) == CONTRACTS[name]
+    source = {"op2_warc_bundles": "pages", "op7_chat_formatting": "conversations"}.get(name, "documents")
+    rows = spark.read.parquet(f"{SF}/{source}.parquet")
+    want = rows.select("conv_id").distinct().count() + 1 if source == "conversations" else rows.count()
+    assert got.count() == want
+
+
+def test_every_operator_has_a_query():
     assert sorted(q.split("_")[0] for q in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
