@@ -267,9 +267,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return marks.join(cut(by_fp), "fp").select("doc_id", "tkey", "fp", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the smallest id, given ones before null, then the smallest text hash."""
-    found = near_duplicates(docs, radius)
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with one row of each root of ``found`` (doc_id, tkey, root): the smallest id, given ones before null, then the smallest text hash."""
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey"))
     # a struct compares null ids as equal
     stay = found.groupBy("root").agg(best.alias("b")).select(F.struct("b.doc_id", "b.tkey").alias("_key"))
@@ -277,3 +276,8 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     first = Window.partitionBy("_key").orderBy(F.col("_key.tkey"))
     kept = rows.join(stay, "_key", "left_semi").withColumn("_n", F.row_number().over(first)).filter("_n = 1")
     return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, see ``first_of_each``."""
+    return first_of_each(docs, near_duplicates(docs, radius))
