@@ -5,7 +5,7 @@ Only DataFrame functions: terms, weights and joins stay in the JVM.
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,31 @@ TEMPLATES = [
 ]
 #: Lines with one of these are notices, the only lines compared; every template has one.
 ANCHORS = ["licen[cs]e", "copyright", "permission", "permitted", "public domain"]
-#: Names of files whose licence holds for their folder and those below.
+_GNU_FREE = (
+    "{this} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by "
+    "the Free Software Foundation, {version}, or (at your option) any later version."
+)
+_GNU_ONLY = "{this} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} {version} as published by the Free Software Foundation."
+_GNU = [
+    ("GPL-2.0", "General Public License", "2", "June 1991"), ("GPL-3.0", "General Public License", "3", "29 June 2007"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1", "February 1999"), ("LGPL-3.0", "Lesser General Public License", "3", "29 June 2007"),
+    ("AGPL-3.0", "Affero General Public License", "3", "19 November 2007"),
+]
+#: What blocks of several lines are compared with besides: usual file headers, and the titles of licence texts.
+BLOCKS = [
+    *[(spdx, form.format(this="This program", name=name, version=f"either version {v} of the License" if form is _GNU_FREE else f"version {v}"))
+      for spdx, name, v, _ in _GNU for form in (_GNU_FREE, _GNU_ONLY)],
+    *[(spdx, f"GNU {name} Version {v}, {date}") for spdx, name, v, date in _GNU],
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"),
+]
+#: SPDX identifiers that a tag can name; endings such as -only and -or-later are left off.
+TAG = r"(?i)SPDX-License-Identifier:\s*\(?\s*([A-Za-z0-9.-]+?)(?:-only|-or-later|\+)?(?=[\s)*/>]|$)"
+#: Comment marks around a line.
+MARKS = r"^[\s#*/;%!<>-]+|[\s#*/>-]+$|^(?i:rem|dnl)\s"
+#: Names of files whose licence holds for their folder and those below, in any case.
 LICENSE_FILES = ["LICENSE", "LICENCE", "COPYING"]
 LEAST = 0.7
 
@@ -59,6 +83,42 @@ def notices(files: DataFrame) -> DataFrame:
     return listed.filter(F.col("body").rlike(anchor)).select("path", "line", terms(F.col("body")).alias("words"))
 
 
+def tagged(files: DataFrame, given: DataFrame) -> DataFrame:
+    """(path, b) of files with an SPDX tag of a known licence; the first such tag of the file counts."""
+    tags = files.filter(F.col("text").rlike("(?i)SPDX-License-Identifier:")).select("path", F.posexplode(F.split("text", "\n")).alias("line", "body"))
+    named = tags.withColumn("id", F.lower(F.regexp_extract("body", TAG, 1)))
+    known = given.groupBy(F.lower("license").alias("id")).agg(F.min("template").alias("template"), F.min("license").alias("license"))
+    one = named.join(F.broadcast(known), "id").groupBy("path").agg(F.min_by(F.struct("template", "license"), "line").alias("k"))
+    return one.select("path", F.struct(F.lit(1.0).alias("score"), (-F.col("k.template")).alias("t"), F.col("k.license").alias("license")).alias("b"))
+
+
+def block_notices(files: DataFrame, sizes: list[int]) -> DataFrame:
+    """(path, words): runs of words in blocks of several non-empty lines, comment marks taken off.
+
+    A block is its whole text if short, and from the start of each of its lines on as many words as each
+    template has, so that a notice counts wherever it stands in a long block.
+    """
+    anchor = "(?i)" + "|".join(ANCHORS)
+    bare = F.transform(F.split("text", "\r?\n"), lambda x: F.regexp_replace(x, MARKS, ""))
+    # lines of marks only end a block as empty ones do
+    blocks = F.split(F.array_join(bare, "\n"), "\n{2,}")
+    listed = files.filter(F.col("text").rlike(anchor)).select("path", F.explode(blocks).alias("block"))
+    held = cut(listed.filter(F.col("block").rlike(anchor) & F.col("block").contains("\n")).withColumn("h", F.xxhash64("block")))
+    some = held.select("h", "block").dropDuplicates(["h"])
+    longest = max(sizes)
+    first = lambda w: F.slice(w, F.lit(1), F.lit(longest))
+    rows = F.filter(F.transform(F.split("block", "\n"), lambda x: first(terms(x))), lambda w: F.size(w) > 0)
+    # a line needs no more lines behind it than the longest template has words
+    ahead = lambda i: first(F.flatten(F.slice(F.col("rows"), i + 1, F.lit(longest))))
+    split = some.select("h", rows.alias("rows")).filter(F.size("rows") > 0)
+    placed = split.select("h", F.explode(F.transform(F.sequence(F.lit(0), F.size("rows") - 1), ahead)).alias("ahead"))
+    near = placed.filter(F.array_join("ahead", " ").rlike(anchor))  # most lines of long blocks leave here
+    runs = near.select("h", F.explode(F.array_distinct(F.array(*[F.slice("ahead", F.lit(1), F.lit(k)) for k in sizes]))).alias("words"))
+    whole = some.select("h", terms(F.col("block")).alias("words")).filter(F.size("words") <= 2 * longest)
+    made = runs.unionByName(whole).filter(F.array_join("words", " ").rlike(anchor)).distinct()
+    return held.select("path", "h").join(made, "h").select("path", "words")
+
+
 def weights(rows: DataFrame, key: list[str], idf: DataFrame, unseen: float) -> DataFrame:
     """Sparse vectors at unit length as rows (key, term, w) for terms of ``idf``.
 
@@ -75,13 +135,27 @@ def weights(rows: DataFrame, key: list[str], idf: DataFrame, unseen: float) -> D
 def own_licenses(files: DataFrame, least: float = LEAST, rows=None) -> DataFrame:
     """(path, license, score) of files with a notice close to a template; the closest counts, ties to the earlier template.
 
+    Notices are single lines, scored on the templates alone, blocks of several lines
+    without comment marks, scored on the usual headers and titles too, and SPDX tags.
+
     The inverse frequencies come from all distinct notices of all files, and from
     the templates, with add-one smoothing. Templates are a few rows, so their terms
     are broadcast; alike notices are scored once, however many files carry them.
     """
     spark = files.sparkSession
-    wanted = templates(spark, rows).select("template", "license", terms(F.col("text")).alias("words"))
-    found = cut(notices(files))
+    given = templates(spark, rows)
+    lines = _closest(cut(notices(files).select("path", "words")), given, least)
+    more = templates(spark, [*(rows or TEMPLATES), *BLOCKS])
+    sizes = sorted({len([w for w in re.split(r"[\W_]+", t) if w]) for _, t in [*(rows or TEMPLATES), *BLOCKS]})
+    blocks = _closest(cut(block_notices(files, sizes).distinct()), more, least)
+    found = lines.unionByName(blocks).unionByName(tagged(files, more))
+    return found.groupBy("path").agg(F.max("b").alias("b")).select("path", "b.license", "b.score")
+
+
+def _closest(found: DataFrame, given: DataFrame, least: float) -> DataFrame:
+    """(path, b) of the closest template of every notice (path, words) that has one."""
+    spark = found.sparkSession
+    wanted = given.select("template", "license", terms(F.col("text")).alias("words"))
     alike = cut(found.select("words").distinct().withColumn("notice", F.xxhash64("words")))
     both = alike.select("words").unionByName(wanted.select("words"))
     n = both.count()
@@ -97,8 +171,7 @@ def own_licenses(files: DataFrame, least: float = LEAST, rows=None) -> DataFrame
         .filter(F.col("score") >= least)
     )
     best = cosine.groupBy("notice").agg(F.max(F.struct("score", (-F.col("template")).alias("t"), "license")).alias("b"))
-    by_file = found.select("path", F.xxhash64("words").alias("notice")).join(best, "notice")
-    return by_file.groupBy("path").agg(F.max("b").alias("b")).select("path", "b.license", "b.score")
+    return found.select("path", F.xxhash64("words").alias("notice")).join(best, "notice").select("path", "b")
 
 
 def folder(path: Column) -> Column:
@@ -118,7 +191,7 @@ def scan(files: DataFrame, least: float = LEAST, rows=None) -> DataFrame:
 
     ``files`` has path (parts joined by "/") and text. origin is "own" for a file
     with a notice of its own, "inherited" where a licence file (LICENSE, LICENCE,
-    COPYING, with any ending) of the folder or the nearest folder above has one, else
+    COPYING, in any case, with any ending after a ".", "-" or "_") of the folder or the nearest folder above has one, else
     "none" with nulls. Of several licence files of a folder the first name counts.
     Null texts have no notice and null paths are left out; repeated paths count as one
     file with the closest notice. Folders are resolved once each, by an equi-join of
@@ -127,7 +200,7 @@ def scan(files: DataFrame, least: float = LEAST, rows=None) -> DataFrame:
     known = files.filter(F.col("path").isNotNull()).select("path", F.coalesce("text", F.lit("")).alias("text"))
     own = cut(own_licenses(known, least, rows))
     paths = known.select("path").distinct()
-    named = F.regexp_extract("path", r"([^/]*)$", 1).rlike("^(" + "|".join(LICENSE_FILES) + r")(\.[^/]*)?$")
+    named = F.regexp_extract("path", r"([^/]*)$", 1).rlike("(?i)^(" + "|".join(LICENSE_FILES) + r")([._-][^/]*)?$")
     given = own.filter(named).groupBy(folder(F.col("path")).alias("dir")).agg(F.min(F.struct("path", "license", "score")).alias("g"))
     dirs = paths.select(folder(F.col("path")).alias("dir")).distinct()
     up = dirs.select("dir", F.posexplode(ancestors(F.col("dir"))).alias("far", "above"))
