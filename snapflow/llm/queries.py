@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, chat, decontam, licenses, lines, quality, simhash, suffix, topk, warc
-from snapflow.session import work_dir
+from snapflow.llm import bpe, chat, clusters, decontam, licenses, lines, packing, quality, simhash, suffix, topk, trie, warc
+from snapflow.session import cut, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(sql: str | None = None):
@@ -183,3 +184,78 @@ def op4_license_scan(spark, sf_dir):
     files = table(spark, sf_dir, "documents").select(F.when(i.isNotNull(), F.concat_ws("/", inner, name)).alias("path"), "text")
     number = lambda c: F.regexp_extract(c, r"(-?[0-9]+)$", 1).cast("long")
     return licenses.scan(files).select(number("path").alias("doc_id"), "license", "score", "origin", number("licensed_by").alias("licensed_by"))
+
+
+def _clustering(rounds: int = 5) -> str:
+    """One pair of expressions a round: distances to all centroids, and the means of those nearest."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS (
+  SELECT n, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT v.n, k.c, CAST(v.sq - 2 * list_inner_product(v.v, k.v) + list_inner_product(k.v, k.v) AS BIGINT) AS d FROM vs v CROSS JOIN k{r} k) GROUP BY n)""")
+        if r < rounds:
+            parts.append(f"""
+m{r} AS (
+  SELECT c, list(x ORDER BY i) AS v
+  FROM (SELECT c, i, floor(sum(x) / count(*)) AS x FROM (SELECT a.c, unnest(v.v) AS x, generate_subscripts(v.v, 1) AS i FROM a{r} a JOIN vs v USING (n)) GROUP BY c, i) GROUP BY c),
+k{r + 1} AS (SELECT k.c, coalesce(m.v, k.v) AS v FROM k{r} k LEFT JOIN m{r} m USING (c))""")
+    return ",".join(parts)
+
+
+@query(f"""
+WITH whole AS (
+  SELECT vec_id, embedding, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+vs AS (SELECT row_number() OVER () AS n, vec_id, embedding, v, list_inner_product(v, v) AS sq FROM whole),
+k0 AS (SELECT row_number() OVER (ORDER BY s, embedding) - 1 AS c, v FROM (SELECT *, sha256('2:' || vec_id) AS s FROM vs ORDER BY s NULLS LAST, embedding LIMIT 40)),
+{_clustering().strip()},
+per AS (SELECT c, sum(d) AS s FROM a5 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(per.s AS BIGINT) AS cluster_inertia, CAST((SELECT sum(s) FROM per) AS BIGINT) AS inertia,
+       sha256(array_to_string([CAST(CAST(x AS BIGINT) AS VARCHAR) FOR x IN k5.v], ',')) AS centroid_sha256
+FROM a5 JOIN vs USING (n) JOIN per USING (c) JOIN k5 USING (c)
+""")
+def op11_centroid_clustering(spark, sf_dir):
+    return clusters.with_inertia(*clusters.cluster(table(spark, sf_dir, "embeddings")))
+
+
+@query()
+def op12_sequence_packing(spark, sf_dir):
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), BYTES)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS p FROM turns),
+convs AS (
+  SELECT conv_id, count(*) AS own,
+         list_reduce([4294967295::BIGINT] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')],
+           lambda acc, b: list_reduce([xor(acc, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS inverted
+  FROM turns GROUP BY conv_id),
+heads AS (SELECT conv_id, own, xor(inverted, 4294967295::BIGINT) % 6 AS h, conv_id - conv_id % 100 AS base FROM convs),
+sized AS (SELECT a.*, least(a.h, coalesce(b.own, 0)) AS taken FROM heads a LEFT JOIN heads b ON a.base = b.conv_id),
+rebuilt AS (
+  SELECT s.conv_id, p.p AS depth, role, text FROM sized s JOIN placed p ON p.conv_id = s.base AND p.p <= s.taken
+  UNION ALL
+  SELECT s.conv_id, p.p - s.h + s.taken, role, text FROM sized s JOIN placed p ON p.conv_id = s.conv_id AND p.p > s.h),
+paths AS (SELECT s.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS path FROM sized s LEFT JOIN rebuilt USING (conv_id) GROUP BY s.conv_id),
+members AS (SELECT conv_id, len(path) AS n, d, path[1:d] AS node FROM paths, unnest(range(0, len(path) + 1)) AS t(d)),
+nodes AS (
+  SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM members GROUP BY node),
+children AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(node[depth].text) END AS saved FROM nodes LEFT JOIN children USING (node)),
+below AS (
+  SELECT v.node[1:d] AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM valued v, unnest(range(0, v.depth + 1)) AS t(d) GROUP BY 1)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN below b USING (node) LEFT JOIN valued p ON v.depth > 0 AND p.node = v.node[1:v.depth - 1]
+""")
+def op13_prefix_trie(spark, sf_dir):
+    turns = cut(trie.numbered_turns(table(spark, sf_dir, "conversations")))
+    rows, lengths = trie.shared_heads(turns)
+    return trie.prefix_trie(rows, lengths)
