@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -21,12 +24,13 @@ from snapflow.session import work_dir
 WIDTH = 2048
 END = 1  # the id that ends each document
 #: Chunks of text whose ids a worker keeps, and the longest chunk kept.
-KNOWN, KNOWN_CHARS = 1 << 18, 48
+KNOWN, KNOWN_CHARS = 1 << 20, 32
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-# A chunk starts at the start of the text, before white space that follows something else, or at a full stop or
-# comma after a word: at none of these places does a match of the byte-level pattern go on.
-_CHUNK = re.compile(rf" ?[{_LETTERS}]+(?=[ \n.,])|\n(?=[{_LETTERS}])|[ \n]*[^ \n]+|[ \n]+")
+_MARKS = r"!-&(-/:-@\[-`{-~"  # ASCII punctuation without the apostrophe, which can go with letters
+# A chunk starts at the start of the text, before white space that follows something else, or at a mark
+# after a letter: at none of these places does a match of the byte-level pattern go on.
+_CHUNK = re.compile(rf" ?[{_LETTERS}]+(?=[ \n{_MARKS}])|\n(?=[{_LETTERS}])|[ \n]*[^ \n]+|[ \n]+")
 _WORD = re.compile(rf" ?[{_LETTERS}]+")
 # white space other than the two above, by the widest meaning of the word
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -39,6 +43,14 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def raw(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
 class Words(dict):
     """Ids of chunks as little-endian unsigned 32-bit integers; chunks met are kept up to a bound."""
 
@@ -51,7 +63,7 @@ class Words(dict):
     def __missing__(self, chunk: str) -> bytes:
         if _WORD.fullmatch(chunk):  # one match of the pattern, so the model takes it as it is
             found = self.model.tokenize(chunk.encode().decode("latin-1").translate(self.chars))
-            ids = np.array([t.id for t in found], "<u4").tobytes()
+            ids = raw([t.id for t in found])
         else:
             ids = self.whole(chunk)
         if len(chunk) <= KNOWN_CHARS:
@@ -61,7 +73,7 @@ class Words(dict):
         return ids
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         if _OTHER_SPACE.search(text):
@@ -80,12 +92,13 @@ def token_runs(text: Column | str, path: str, width: int = WIDTH) -> Column:
     Ids are those of the byte-level tokenizer file at ``path``, without special tokens. A null
     text is empty and has the end id only.
     """
-    step, end = 4 * width, np.array([END], "<u4").tobytes()
+    step, end = 4 * width, raw([END])
 
-    @F.pandas_udf("array<binary>")
-    def runs(texts: pd.Series) -> pd.Series:
-        whole = (words(path).encode(t or "") + end for t in texts)
-        return pd.Series([[ids[i:i + step] for i in range(0, len(ids), step)] for ids in whole], dtype=object)
+    @F.arrow_udf("array<binary>")
+    def runs(texts: pa.Array) -> pa.Array:
+        known = words(path)
+        whole = (known.encode(t or "") + end for t in texts.to_pylist())
+        return pa.array([[ids[i:i + step] for i in range(0, len(ids), step)] for ids in whole], pa.list_(pa.binary()))
 
     return runs(text)
 
