@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -58,34 +59,62 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return _made[-1]
 
 
+def made_folders() -> list[str]:
+    """The folders handed out and not yet removed."""
+    return list(_made)
+
+
+def drop_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Remove some of the folders handed out; for when no frame that reads them is needed any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in paths:
+        if name in _made:
+            _made.remove(name)
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def drop_work(spark: SparkSession) -> None:
     """Remove the folders handed out so far; for when no frame that reads them is needed any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
+    drop_folders(spark, made_folders())
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder, so that later passes see the same rows.
 
     A columnar table rather than an RDD checkpoint: each later pass reads only
-    the columns it needs.
+    the columns it needs. ``path`` is a folder from ``work_dir`` for callers that drop it themselves.
     """
-    path = work_dir(df.sparkSession, "cut")
+    path = path or work_dir(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: dict[str, tuple[int, str | None]] = {}  # settings in force: by how many blocks, and the value before
+_holding = threading.Lock()
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **conf: str) -> Iterator[None]:
-    """SQL settings for the actions run inside the block; dots are written as ``__``."""
+    """SQL settings for the actions run inside the block; dots are written as ``__``.
+
+    Blocks of several threads may overlap: the value before comes back with the end of the last one.
+    """
     settings = {k.replace("__", "."): v for k, v in conf.items()}
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+    with _holding:
+        for k, v in settings.items():
+            n, before = _held.get(k, (0, None))
+            _held[k] = (n + 1, before if n else spark.conf.get(k, None))
+            spark.conf.set(k, v)
     try:
         yield
     finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        with _holding:
+            for k in settings:
+                n, before = _held.pop(k)
+                if n > 1:
+                    _held[k] = (n - 1, before)
+                elif before is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, before)
