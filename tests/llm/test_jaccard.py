@@ -87,3 +87,18 @@ def test_rows_of_repeated_and_null_ids(spark):
     got = sorted(((r.doc_id or 0), r.text) for r in jaccard.one_of_each(docs).collect())
     assert got == [(0, "alone here"), (5, text + " end"), (7, None)]
     assert jaccard.one_of_each(docs.limit(0)).collect() == []
+
+
+def test_copies_pass_the_weighing(spark):
+    rng = np.random.default_rng(5)
+    pairs, sets = [], {}
+    for i in range(0, 3_000, 2):
+        a = np.unique(rng.integers(0, 300, rng.integers(1, 80)))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.choice([0.85, 0.93, 1])], rng.integers(0, 300, rng.integers(0, 12))]))
+        sets[i], sets[i + 1] = a, b
+        pairs.append((i, len(a), i + 1, len(b)))
+    signatures = [(i, jaccard.in_order(s, np.zeros(0, np.int64), np.zeros(0, np.int64))[:jaccard.prefix_size(len(s))].tolist()) for i, s in sets.items()]
+    left = jaccard.likely(spark.createDataFrame(pairs, "a long, na int, b long, nb int"), spark.createDataFrame(signatures, "sid long, hs array<long>"))
+    passed = {(r.a, r.b) for r in left.collect()}
+    copies = {(a, b) for a, _, b, _ in pairs if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    assert copies <= passed and 100 < len(copies) and len(passed) < len(pairs)
