@@ -75,6 +75,12 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def leading_terms(text: Column, n: int) -> Column:
+    """The first n terms; what comes after them stays one piece, however long."""
+    parts = F.split(F.lower(text), r"[^\p{L}\p{N}]+", n + 2)  # one may be empty at the start
+    return F.slice(F.filter(F.slice(parts, F.lit(1), F.lit(n + 1)), lambda w: w != ""), F.lit(1), F.lit(n))
+
+
 def notices(files: DataFrame) -> DataFrame:
     """(path, line, words): every line of every file with an anchor word, each line apart."""
     anchor = "(?i)" + "|".join(ANCHORS)
@@ -96,7 +102,8 @@ def block_notices(files: DataFrame, sizes: list[int]) -> DataFrame:
     """(path, words): runs of words in blocks of several non-empty lines, comment marks taken off.
 
     A block is its whole text if short, and from the start of each of its lines on as many words as each
-    template has, so that a notice counts wherever it stands in a long block.
+    template has, so that a notice counts wherever it stands in a long block. A row holds a block, or two
+    stretches of its lines: windows of a long block are made stretch by stretch, around its anchors.
     """
     anchor = "(?i)" + "|".join(ANCHORS)
     bare = F.transform(F.split("text", "\r?\n"), lambda x: F.regexp_replace(x, MARKS, ""))
@@ -106,15 +113,23 @@ def block_notices(files: DataFrame, sizes: list[int]) -> DataFrame:
     held = cut(listed.filter(F.col("block").rlike(anchor) & F.col("block").contains("\n")).withColumn("h", F.xxhash64("block")))
     some = held.select("h", "block").dropDuplicates(["h"])
     longest = max(sizes)
-    first = lambda w: F.slice(w, F.lit(1), F.lit(longest))
-    rows = F.filter(F.transform(F.split("block", "\n"), lambda x: first(terms(x))), lambda w: F.size(w) > 0)
-    # a line needs no more lines behind it than the longest template has words
-    ahead = lambda i: first(F.flatten(F.slice(F.col("rows"), i + 1, F.lit(longest))))
-    split = some.select("h", rows.alias("rows")).filter(F.size("rows") > 0)
-    placed = split.select("h", F.explode(F.transform(F.sequence(F.lit(0), F.size("rows") - 1), ahead)).alias("ahead"))
+    # by the first words of the anchors, as an anchor may go over a line's end
+    seeds = "|".join(a.split(" ")[0] for a in ANCHORS)
+    worded = F.filter(F.split("block", "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]"))
+    # a line needs no more lines behind it than the longest template has words, so lines go to stretches of that many:
+    # a line of a stretch is followed by the rest of it and by the next one. Only stretches before an anchor are gathered.
+    lines = some.select("h", F.posexplode(worded).alias("i", "line")).withColumn("at", F.floor(F.col("i") / longest).cast("int"))
+    both = F.explode(F.array(F.col("at") - 1, F.col("at"))).alias("s")
+    asked = lines.filter(F.lower("line").rlike(seeds)).select("h", both).filter("s >= 0").distinct()
+    near = lines.select("h", "i", "at", "line", both).join(asked, ["h", "s"])
+    kept = near.select("h", "s", F.struct("i", "at", leading_terms(F.col("line"), longest).alias("w")).alias("row"))
+    rows = kept.groupBy("h", "s").agg(F.sort_array(F.collect_list("row")).alias("rows"))  # two stretches at most
+    starts = F.filter(F.sequence(F.lit(0), F.size("rows") - 1), lambda k: F.get("rows", k)["at"] == F.col("s"))
+    ahead = lambda k: F.slice(F.flatten(F.slice(F.col("rows.w"), k + 1, F.lit(longest))), F.lit(1), F.lit(longest))
+    placed = rows.select("h", F.explode(F.transform(starts, ahead)).alias("ahead"))
     near = placed.filter(F.array_join("ahead", " ").rlike(anchor))  # most lines of long blocks leave here
     runs = near.select("h", F.explode(F.array_distinct(F.array(*[F.slice("ahead", F.lit(1), F.lit(k)) for k in sizes]))).alias("words"))
-    whole = some.select("h", terms(F.col("block")).alias("words")).filter(F.size("words") <= 2 * longest)
+    whole = some.select("h", leading_terms(F.col("block"), 2 * longest + 1).alias("words")).filter(F.size("words") <= 2 * longest)
     made = runs.unionByName(whole).filter(F.array_join("words", " ").rlike(anchor)).distinct()
     return held.select("path", "h").join(made, "h").select("path", "words")
 
