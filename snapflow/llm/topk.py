@@ -26,6 +26,8 @@ BLOCK = 16_384
 QUERY_BLOCK = 4_096
 _CHUNK = 1 << 21  # scores in memory at once
 _EXACT = 1 << 53
+_LONG = 1 << 63
+_NONE = np.zeros(0, np.int64)
 
 
 def whole_numbers(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
@@ -56,20 +58,52 @@ def classes(points: DataFrame, members: int) -> DataFrame:
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def slice_scores(q: np.ndarray, c: np.ndarray):
-    """Blocks (first query, scores): exact integer scores of some queries with all candidates."""
-    bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(q.shape[1], 1)
-    if bound >= 2.0**63:
-        raise OverflowError("inner products do not fit in 64 bits")
+def _largest(rows: np.ndarray) -> np.ndarray:
+    return np.abs(rows.astype(np.float64)).max(axis=1, initial=0)
+
+
+def slice_scores(q: np.ndarray, c: np.ndarray, own: tuple[np.ndarray, np.ndarray] = (_NONE, _NONE)):
+    """Blocks (first query, scores): exact integer scores of some queries with all candidates.
+
+    ``own`` are pairs (row, column) that nobody asks for; their score is the row's lowest other one, whatever their
+    product. A product beyond a long raises only for another pair.
+    """
+    per_q, per_c = _largest(q), _largest(c)
+    bound = float(per_q.max(initial=0)) * float(per_c.max(initial=0)) * max(q.shape[1], 1)
     if bound < _EXACT:  # all sums are whole doubles
         q, c = q.astype(np.float64), c.astype(np.float64)
     ct = c.T
     step = max(1, _CHUNK // max(len(c), 1))
     for at in range(0, len(q), step):
-        yield at, (q[at:at + step] @ ct).astype(np.int64)
+        here = q[at:at + step]
+        scores = (here @ ct).astype(np.int64)
+        mine = (own[0] >= at) & (own[0] < at + len(here))
+        rows, columns = own[0][mine] - at, own[1][mine]
+        if bound >= 2.0**62:  # int64 sums may have gone round for large vectors: those pairs again, by Python's integers
+            large = per_q[at:at + step, None] * per_c * max(q.shape[1], 1) >= 2.0**62
+            large[rows, columns] = False
+            for x, y in zip(*np.nonzero(large)):
+                exact = sum(a * b for a, b in zip(here[x].tolist(), c[y].tolist()))
+                if not -_LONG <= exact < _LONG:
+                    raise OverflowError("an inner product does not fit in 64 bits")
+                scores[x, y] = exact
+        if len(rows) and scores.shape[1] > 1:
+            scores[rows, columns] = np.iinfo(np.int64).max
+            scores[rows, columns] = scores[rows].min(axis=1)
+        elif len(rows):
+            scores[rows, columns] = 0
+        yield at, scores
+
+
+def _own(q: np.ndarray, alone: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the queries that meet themselves among the candidates and have no equal."""
+    order = np.argsort(c, kind="stable")
+    at = np.minimum(np.searchsorted(c, q, sorter=order), len(c) - 1)
+    rows = np.flatnonzero(alone & (c[order[at]] == q))
+    return rows, order[at[rows]]
 
 
 def _nodes(points: DataFrame, queries: DataFrame, width: int, slices: int):
@@ -94,7 +128,7 @@ def _nodes(points: DataFrame, queries: DataFrame, width: int, slices: int):
         asked = queries if more is None else queries.join(more, "cls")
         return (
             deal(points.select("cls", "v"), "block", n_blocks, "q_block", q_blocks),
-            deal(asked, "q_block", q_blocks, "block", n_blocks, *names),
+            deal(asked, "q_block", q_blocks, "block", n_blocks, "alone", *names),
         )
 
     return nodes
@@ -114,7 +148,8 @@ def _lists(nodes, keep: int) -> DataFrame:
             slice_no = key[0].as_py()
             c, q = left["cls"].to_numpy(), right["cls"].to_numpy()
             width = len(right["part"][0])
-            for at, scores in slice_scores(_matrix(right["part"], width), _matrix(left["part"], width)):
+            own = _own(q, right["alone"].to_numpy(), c)
+            for at, scores in slice_scores(_matrix(right["part"], width), _matrix(left["part"], width), own):
                 k = min(keep, scores.shape[1])
                 best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
                 rows = np.arange(len(scores))
@@ -143,7 +178,8 @@ def _collected(nodes, cutoffs: DataFrame) -> DataFrame:
             c, q = left["cls"].to_numpy(), right["cls"].to_numpy()
             width = len(right["part"][0])
             least = np.array([row[slice_no] for row in right["cutoffs"].to_pylist()], np.int64)
-            for at, scores in slice_scores(_matrix(right["part"], width), _matrix(left["part"], width)):
+            own = _own(q, right["alone"].to_numpy(), c)
+            for at, scores in slice_scores(_matrix(right["part"], width), _matrix(left["part"], width), own):
                 x, y = np.nonzero(scores >= least[at:at + len(scores), None])
                 out.append(pa.table([np.full(len(x), slice_no, np.int32), q[at + x], c[y], scores[x, y]], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
@@ -152,10 +188,11 @@ def _collected(nodes, cutoffs: DataFrame) -> DataFrame:
 
 
 def _resolved(pairs: DataFrame, cls: DataFrame) -> DataFrame:
-    """Exact scores of pairs of classes (q, c)."""
+    """Exact scores of pairs of classes (q, c); a vector without an equal is no candidate of its own."""
     product = F.aggregate(F.zip_with("vq", "vc", lambda x, y: x * y), F.lit(0).cast("long"), lambda t, x: t + x)
     return (
-        pairs.join(cls.select(F.col("cls").alias("q"), F.col("v").alias("vq")), "q")
+        pairs.join(cls.select(F.col("cls").alias("q"), F.col("v").alias("vq"), (F.size("ids") == 1).alias("alone")), "q")
+        .filter(~(F.col("alone") & (F.col("q") == F.col("c"))))
         .join(cls.select(F.col("cls").alias("c"), F.col("v").alias("vc")), "c")
         .select("q", "c", product.alias("score"))
     )
@@ -167,7 +204,8 @@ def top_k(vectors: DataFrame, k: int, is_query, key: str = "vec_id", vector: str
     ``is_query`` is a condition on the id. Scores are inner products of whole
     numbers; ties go to the smaller id, and fewer than k candidates give fewer
     rows. Vectors that cannot take part (see ``whole_numbers``) are left out, as
-    are repeated rows; vectors of several lengths raise. Equal vectors are scored
+    are repeated rows; vectors of several lengths raise. Empty vectors score 0 with each other. A score
+    that does not fit a long raises if it is asked for; a query's product with itself is not. Equal vectors are scored
     once: of a class of equals at most k + 1 ids can appear in a list, since all
     but the query's own tie and the smallest win.
     """
@@ -182,12 +220,12 @@ def top_k(vectors: DataFrame, k: int, is_query, key: str = "vec_id", vector: str
     cls = cut(classes(points, k + 1))
     # every query with the class of its vector; equal queries are asked once
     asked = cut(points.filter(is_query(F.col("id"))).distinct().join(cls.select("cls", "v"), "v").select(F.col("id").alias("query_id"), "cls"))
-    queries = cut(asked.select("cls").distinct().join(cls.select("cls", "v"), "cls"))
+    queries = cut(asked.select("cls").distinct().join(cls.select("cls", "v", (F.size("ids") == 1).alias("alone")), "cls"))
     nodes = _nodes(cls, queries, width, slices)
     keep = k + 1
 
     # phase 1: the entries met are resolved at once, as the bound of a sum with unknown, possibly negative parts is loose
-    lists = cut(_lists(nodes, keep))
+    lists = cut(_lists(nodes, keep + 1))  # one of them may be the query itself
     lows = lists.groupBy("q").pivot("slice", list(range(slices))).agg(F.min("low"))
     met = _resolved(lists.select("q", "c").distinct(), cls)
     rank = Window.partitionBy("q").orderBy(F.desc("score"))

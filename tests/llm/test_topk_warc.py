@@ -57,6 +57,22 @@ def test_large_values_are_exact_or_refused():
         list(topk.slice_scores(q << 20, c))
 
 
+def test_empty_and_large_vectors(spark):
+    schema, every = "vec_id long, embedding array<double>", lambda i: i >= 0
+    none = spark.createDataFrame([(i, []) for i in range(8)] + [(9, None)], schema)
+    got = sorted(tuple(r) for r in topk.top_k(none, 5, every).collect())
+    assert got == [(q, r + 1, c, 0) for q in range(8) for r, c in enumerate([c for c in range(8) if c != q][:5])]
+    # the products that are asked for fit a long, those of a vector with itself do not
+    rows = [(0, [3e6] * 64), (1, [1.0] * 64), (2, [-1.0] * 64), (3, [0.5] * 64)]
+    df = spark.createDataFrame(rows, schema)
+    got = {}
+    for r in topk.top_k(df, 5, every).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert {q: sorted(v) for q, v in got.items()} == plain_top(rows, 5, every)
+    with pytest.raises(Exception, match="fit|overflow"):
+        topk.top_k(spark.createDataFrame([*rows, (4, [3e6] * 64)], schema), 5, every).collect()
+
+
 PAGES = [
     (1, "http://a/", "same"), (2, "http://a b/\n", "same"), (3, None, "same"), (4, "u", None), (5, "u", ""), (6, "u", "é" * 300_000),
     (7, "u", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"), (None, "u", "same"), (None, "v", "only"), (8, "u", "twice"), (8, "u", "twice"), (9, "w", "alone"),
