@@ -47,7 +47,12 @@ class Lists:
         self.order = np.argsort(centroids, axis=0, kind="stable")
         self.values = np.take_along_axis(centroids, self.order, axis=0)
 
-    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, x: np.ndarray, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """``walk`` over some rows at a time, so that what they meet stays near the processor."""
+        parts = [self.walk(x[i:i + rows]) for i in range(0, len(x), rows)]
+        return np.concatenate([n for n, _ in parts]), np.concatenate([d for _, d in parts])
+
+    def walk(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nearest centroid of each row of ``x``, the smaller number of equally near ones, and the squared distance.
 
         Each dimension's list is walked outward from the row's value, one centroid a step. Centroids met get
@@ -75,7 +80,8 @@ class Lists:
             new[np.arange(len(walking))[:, None], shown] = True
             row, c = np.nonzero(new & ~met[walking])
             met[walking] |= new
-            exact[walking[row], c] = ((at[row] - centroids[c]) ** 2).sum(axis=1)
+            apart = at[row] - centroids[c]
+            exact[walking[row], c] = np.einsum("ij,ij->i", apart, apart) if x.dtype != object else (apart**2).sum(axis=1)
             frontier = (np.where(down, below, above) ** 2).sum(axis=1)
             walking = walking[~(frontier > exact[walking].min(axis=1)).astype(bool)]
             if not len(walking):
