@@ -99,3 +99,11 @@ def top_cards_per_run(df: DataFrame, n: int) -> DataFrame:
     return top_per_group(
         df, ["run_id"], [F.desc_nulls_last("main_ovr"), F.asc("spid")], n, tie="spid"
     )
+
+
+def previous(versions: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
+    """Each stored version of a key beside the value of the version before it; null for the first.
+
+    A key has as many rows as versions changed it, so no window grows with the table.
+    """
+    return versions.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)))

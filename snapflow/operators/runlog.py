@@ -128,6 +128,12 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.hint("rebalance", F.col("run_id")).write.mode("append").partitionBy("run_id").parquet(path)
 
 
+def put_log(rows: DataFrame, path: str, name: str) -> None:
+    """Log rows as the part ``name`` of their run, in place of what that part held: written twice they count once."""
+    named = rows.withColumn("part", F.lit(name)).hint("rebalance", F.col("run_id"))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "part").parquet(path)
+
+
 def run_totals(log: DataFrame, expected: int) -> DataFrame:
     """Per run: sums over crawl rows, shards seen and missing, time of the first row."""
     crawl = F.col("phase") == CRAWL

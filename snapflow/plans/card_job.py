@@ -28,6 +28,8 @@ class CardRun:
     rejects: DataFrame   # pages without a usable card, with the reason
     spid: DataFrame      # catalogue with processed cards marked done
     log: DataFrame       # one row per shard
+    landed: DataFrame    # the landed cards only, with the action per card
+    created: DataFrame   # the members that the run added
 
 
 def as_members(nations: DataFrame, traits: DataFrame, team_colors: DataFrame) -> DataFrame:
@@ -125,10 +127,12 @@ def hashed_cards(cards: DataFrame, by_name: bool = False) -> DataFrame:
     )
 
 
-def with_surrogate_ids(cards: DataFrame, players: DataFrame) -> DataFrame:
-    """Ids for cards the table does not hold, in key order after the highest id in use."""
+def with_surrogate_ids(cards: DataFrame, players: DataFrame, highest: int | None = None) -> DataFrame:
+    """Ids for cards the table does not hold, in key order after the highest id in use, which
+    is looked up unless given; then ``players`` need hold the landed cards only."""
+    used = players if highest is None else cards.sparkSession.createDataFrame([(highest,)], "id bigint")
     new = cards.select("spid").join(players.select("spid"), "spid", "left_anti")
-    return cards.join(next_ids(new, players, "spid", id_type="bigint"), "spid", "left")
+    return cards.join(next_ids(new, used, "spid", id_type="bigint"), "spid", "left")
 
 
 def commit_cards(
@@ -163,6 +167,11 @@ def one_per_card(records: DataFrame) -> DataFrame:
     return keyed.filter("_n = 1").drop("_n").unionByName(records.filter(F.col("spid").isNull()))
 
 
+def parse_cards(pages: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """The record of each landed card, parsed once: it feeds the dimensions, the write and the log."""
+    return cut(one_per_card(card_records(pages, targets)))
+
+
 def run_card_job(
     pages: DataFrame,
     players: DataFrame,
@@ -181,17 +190,32 @@ def run_card_job(
     Only known cards among the landed ones are read and compared; the others stay as
     they are.
     """
-    # parsed once: the records feed the dimensions, the write and the log
-    records = cut(one_per_card(card_records(pages, targets)))
+    return apply_cards(parse_cards(pages, targets), players, spid, members, run_id, now, shards)
+
+
+def apply_cards(
+    records: DataFrame,
+    players: DataFrame,
+    spid: DataFrame,
+    members: DataFrame,
+    run_id: str,
+    now,
+    shards: int = 1,
+    shard: int | None = None,
+    highest: int | None = None,
+) -> CardRun:
+    """Parsed cards against the tables. ``shard`` says that all of them are one shard's, so
+    that only its log row is made; with the ``highest`` id in use, ``players`` need hold the landed cards only."""
     valid, rejects = split_valid(records)
-    shard_of = with_shard(records.select("spid").filter(F.col("spid").isNotNull()).distinct(), "spid", shards)
+    keys = records.select("spid").filter(F.col("spid").isNotNull()).distinct()
+    shard_of = with_shard(keys, "spid", shards) if shard is None else keys.withColumn("shard", F.lit(shard))
 
     created = created_members(
         members, member_candidates(valid), ["attribute"], ["page_id", "pos"],
         by="dim", spaces=DIMENSIONS,
     )
     grown = members.unionByName(created)
-    cards = with_surrogate_ids(hashed_cards(with_ids(valid, grown)), players)
+    cards = with_surrogate_ids(hashed_cards(with_ids(valid, grown)), players, highest)
     landed = cut(apply_card_changes(for_keys(players, valid), cards, now))
     others = players.join(landed.select("spid"), "spid", "left_anti").withColumn(ACTION, F.lit(KEEP))
 
@@ -203,12 +227,15 @@ def run_card_job(
     )
     by_shard = used.join(dimension(created, TRAIT), "name").select("shard", "id", "name")
 
-    failed = rejects.join(shard_of, "spid", "left").withColumn("shard", F.coalesce("shard", F.lit(0)))
+    failed = rejects.join(shard_of, "spid", "left").withColumn("shard", F.coalesce("shard", F.lit(shard or 0)))
     counts = shard_counts(landed.join(shard_of, "spid"), failed)
+    log = crawl_log(counts, by_shard, run_id, now, shards if shard is None else shard + 1)
     return CardRun(
         players=landed.unionByName(others),
         members=grown,
         rejects=rejects,
         spid=mark_done(spid, valid.select("spid"), now),
-        log=crawl_log(counts, by_shard, run_id, now, shards),
+        log=log if shard is None else log.filter(F.col("shard") == shard),
+        landed=landed,
+        created=created,
     )

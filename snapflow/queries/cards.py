@@ -10,15 +10,26 @@ from pyspark.sql import functions as F
 from snapflow.functions.hashing import content_hash, content_json
 from snapflow.functions.scalars import batch_time
 from snapflow.operators.extract import extract_cards, split_valid
+from snapflow.operators.latest import previous
 from snapflow.operators.runlog import shard_counts
 from snapflow.operators.shard import with_shard
-from snapflow.operators.upsert import ACTION, apply_card_changes, classify
-from snapflow.plans.card_job import TRAIT, as_members, dimension, member_candidates, run_card_job
-from snapflow.plans.kept_tables import add_to_catalogue, read_kept, run_kept_card_job
+from snapflow.operators.upsert import ACTION, apply_card_changes, classify, upsert
+from snapflow.plans.card_job import TRAIT, as_members, commit_cards, dimension, member_candidates, run_card_job
+from snapflow.plans.kept_tables import (
+    add_to_catalogue,
+    card_transaction,
+    known_cards as known_kept_cards,
+    read_kept,
+    run_kept_card_job,
+    run_kept_catalogue_job,
+)
+from snapflow.plans.report import run_summary
 from snapflow.queries.registry import query, spread, table
-from snapflow.schemas import NATIONS, PLAYERS, SPID, STAT_COLUMNS, STAT_LABELS, TEAM_COLORS, TRAITS
-from snapflow.session import work_dir
+from snapflow.schemas import NATIONS, PLAYERS, STAT_COLUMNS, TEAM_COLORS, TRAITS
+from snapflow.session import cut, work_dir
+from snapflow.sources import snapshots
 from snapflow.sources.readers import existing_state, read_run_log
+from snapflow.streaming.ingest import card_stream, ingest_pages
 
 CREATED, NOW = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8)
 
@@ -415,33 +426,111 @@ def card_run_marks(spark, sf_dir):
     )
 
 
-def _kept_runs(spark, sf_dir) -> str:
-    """Two runs on kept tables, the second over all pages; the folder of the tables."""
+def _kept_catalogue(spark, sf_dir) -> str:
+    """A new store with the catalogue of all parts; its folder."""
     store = work_dir(spark, "store")
     catalogue = table(spark, sf_dir, "part").select(card_key(F.col("p_partkey")).alias("spid"), F.col("p_name").alias("name"))
     add_to_catalogue(catalogue, store, "20240101/sync", buckets=4)
+    return store
+
+
+def _earlier_pages(spark, sf_dir) -> DataFrame:
     size = F.col("p_size") - F.when(F.col("p_partkey") % 7 == 3, 1).otherwise(0)
-    earlier = card_pages(spark, sf_dir, size).filter(F.col("page_id") % 10 != 9)
-    run_kept_card_job(earlier, store, "20240101", CREATED, shards=4, buckets=4)
+    return card_pages(spark, sf_dir, size).filter(F.col("page_id") % 10 != 9)
+
+
+def _kept_runs(spark, sf_dir) -> str:
+    """Two runs on kept tables, the second over all pages; the folder of the tables."""
+    store = _kept_catalogue(spark, sf_dir)
+    run_kept_card_job(_earlier_pages(spark, sf_dir), store, "20240101", CREATED, shards=4, buckets=4)
     run_kept_card_job(card_pages(spark, sf_dir), store, "20240108", NOW, shards=4, buckets=4)
     return store
 
 
-@query(f"""{RUN_SQL}
+def _kept_players(spark, store: str) -> DataFrame:
+    return read_kept(spark, store, "players").select(
+        "spid", "name", "main_ovr", F.date_format("created_at", "yyyy-MM-dd").alias("created_on"),
+        F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"), "ovr_change",
+        F.length("content_hash").alias("hash_length"),
+    )
+
+
+KEPT_SQL = f"""{RUN_SQL}
 SELECT spid, name, main_ovr, CASE WHEN absent THEN '2024-01-08' ELSE '2024-01-01' END AS created_on,
        CASE WHEN action = 'skip' THEN '2024-01-01' ELSE '2024-01-08' END AS updated_on,
        CASE WHEN action = 'update' THEN 1 END AS ovr_change, 64 AS hash_length
 FROM acted WHERE action <> 'reject'
-""")
+"""
+
+
+@query(KEPT_SQL)
 def kept_players(spark, sf_dir):
     """Players read back after two runs on kept tables."""
-    return read_kept(spark, _kept_runs(spark, sf_dir), "players").select(
-        "spid", "name", "main_ovr", F.date_format("created_at", "yyyy-MM-dd").alias("created_on"),
-        F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"), "ovr_change",
-        F.length("content_hash").alias("hash_length"),
+    return _kept_players(spark, _kept_runs(spark, sf_dir))
+
+
+@query(KEPT_SQL)
+def kept_players_recovered(spark, sf_dir):
+    """The first run dies once its record is there, before any table is written; the second run carries it out first,
+    and is then sent twice."""
+    store = _kept_catalogue(spark, sf_dir)
+    card_transaction(_earlier_pages(spark, sf_dir), store, "20240101", CREATED, shards=4, buckets=4).take()
+    for _ in range(2):
+        run_kept_card_job(card_pages(spark, sf_dir), store, "20240108", NOW, shards=4, buckets=4)
+    return _kept_players(spark, store)
+
+
+def _kept_shards(spark, sf_dir) -> str:
+    """Both runs as four jobs each, all prepared from the same tables and committed out of order; the folder."""
+    store = _kept_catalogue(spark, sf_dir)
+    for pages, run_id, now in ((_earlier_pages(spark, sf_dir), "20240101", CREATED), (card_pages(spark, sf_dir), "20240108", NOW)):
+        pages = cut(pages)
+        jobs = [
+            card_transaction(pages.filter(F.col("page_id") % 4 == i), store, run_id, now, buckets=4, shard=i).prepare()
+            for i in range(4)
+        ]
+        for i in (2, 0, 3, 1):
+            jobs[i].commit()
+    return store
+
+
+@query(KEPT_SQL)
+def kept_shards_out_of_order(spark, sf_dir):
+    """Four writers at a time leave the players that one would."""
+    return _kept_players(spark, _kept_shards(spark, sf_dir))
+
+
+@query(f"""
+WITH {CARDS_SQL}, met AS (
+  SELECT 'nation' AS dim, nation_name AS name FROM cards WHERE error IS NULL AND nation_name IS NOT NULL
+  UNION SELECT 'trait', unnest(string_split(traits, '|')) FROM cards WHERE error IS NULL
+  UNION SELECT 'team_color', split_part(unnest(string_split(team_colors, '|')), '/', 1) FROM cards WHERE error IS NULL)
+SELECT dim, count(*) AS n_members, count(DISTINCT name) AS n_names, count(*) AS n_ids, 1 AS first_id, count(*) AS last_id
+FROM met GROUP BY dim
+""")
+def kept_members_of_shards(spark, sf_dir):
+    """Four writers at a time give every name one id, and use up no id twice."""
+    members = read_kept(spark, _kept_shards(spark, sf_dir), "members")
+    return members.groupBy("dim").agg(
+        F.count(F.lit(1)).alias("n_members"), F.count_distinct("name").alias("n_names"), F.count_distinct("id").alias("n_ids"),
+        F.min("id").alias("first_id"), F.max("id").cast("long").alias("last_id"),
     )
 
 
+@query(KEPT_SQL)
+def stream_card_pages(spark, sf_dir):
+    """Card pages landed in slices and streamed into the kept tables; then the whole stream comes again."""
+    store = _kept_catalogue(spark, sf_dir)
+    for pages, run_id, now in ((_earlier_pages(spark, sf_dir), "20240101", CREATED), (card_pages(spark, sf_dir), "20240108", NOW)):
+        landed = work_dir(spark, "landed")
+        pages.repartition(3, "page_id").write.parquet(landed)
+        for _ in range(2):
+            card_stream(
+                ingest_pages(spark, landed, max_files=1), store, run_id, now, work_dir(spark, "offsets"), buckets=4, name="cards"
+            ).awaitTermination()
+    return _kept_players(spark, store)
+
+
 @query(f"""{RUN_SQL}
 SELECT '20240108' AS run_id, shard, count(*) FILTER (WHERE action = 'insert') AS new_players,
        count(*) FILTER (WHERE action = 'update') AS changed, count(*) FILTER (WHERE action = 'reject') AS failures
@@ -454,3 +543,71 @@ def kept_run_log(spark, sf_dir):
     """The log of both runs read back from storage."""
     log = read_run_log(spark, f"{_kept_runs(spark, sf_dir)}/log")
     return log.select("run_id", "shard", "new_players", "changed", "failures")
+
+
+@query(f"""{RUN_SQL}
+SELECT '20240108' AS run_id, count(*) FILTER (WHERE action = 'insert') AS new_players,
+       (SELECT count(*) FROM part WHERE p_partkey % 10 = 9) AS new_spid_count,
+       count(*) FILTER (WHERE action = 'update') AS changed, count(*) FILTER (WHERE action = 'reject') AS failures,
+       (SELECT count(*) FROM nation WHERE n_nationkey % 2 = 1) AS new_seasons, 4 AS shards_logged, 0 AS missing_shards
+FROM acted
+UNION ALL
+SELECT '20240101', count(*) FILTER (WHERE error IS NULL), count(*), 0, count(*) FILTER (WHERE error IS NOT NULL),
+       (SELECT count(*) FROM nation WHERE n_nationkey % 2 = 0), 4, 0
+FROM cards WHERE page_id % 10 <> 9
+""")
+def kept_run_summaries(spark, sf_dir):
+    """Two runs of both jobs on kept tables, catalogue first; sync and crawl rows read back and summed up."""
+    store = work_dir(spark, "store")
+    parts, nations = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
+    cards = parts.select(card_key(F.col("p_partkey")).alias("spid"), F.col("p_name").alias("name"))
+    seasons = nations.select(F.col("n_nationkey").cast("int").alias("season_id"), F.col("n_name").alias("class_name"), F.lit(None).cast("string").alias("season_img"))
+    early_cards, early_seasons = cards.filter(F.col("spid") % 10 != 9), seasons.filter(F.col("season_id") % 2 == 0)
+    run_kept_catalogue_job(early_cards, early_seasons, store, "20240101", CREATED, buckets=4)
+    run_kept_card_job(_earlier_pages(spark, sf_dir), store, "20240101", CREATED, shards=4, buckets=4)
+    run_kept_catalogue_job(cards, seasons, store, "20240108", NOW, buckets=4)
+    run_kept_card_job(card_pages(spark, sf_dir), store, "20240108", NOW, shards=4, buckets=4)
+    log = read_run_log(spark, f"{store}/log")
+    summary = run_summary(log, read_kept(spark, store, "players"), read_kept(spark, store, "seasons"), ["created_at", "phase", "shard", "seq"])
+    return summary.select("run_id", "new_players", "new_spid_count", "changed", "failures", "new_seasons", "shards_logged", "missing_shards")
+
+
+@query("""
+SELECT p_partkey + 1 AS id, p_partkey AS spid,
+       CASE WHEN p_partkey % 37 = 0 THEN NULL ELSE p_size END AS main_ovr,
+       CASE WHEN p_partkey % 41 = 0 THEN 0 ELSE 64 END AS hash_length
+FROM part WHERE p_partkey % 10 <> 9 AND p_partkey IN (SELECT l_partkey FROM lineitem)
+""")
+def known_cards_kept(spark, sf_dir):
+    """State of the known cards among the requested keys, from the buckets of these keys in a kept table."""
+    players, _ = card_versions(spark, sf_dir)
+    store = work_dir(spark, "store")
+    snapshots.commit(players, f"{store}/players", PLAYERS, ["spid"], lambda state, batch, keys: upsert(state, batch, keys, ["content_hash"]), 16)
+    keys = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("spid"))
+    return known_kept_cards(keys, store).select(
+        "id", "spid", "main_ovr", F.coalesce(F.length("content_hash"), F.lit(0)).alias("hash_length")
+    )
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS spid, p_size AS a,
+                  p_size + CASE WHEN p_partkey % 7 = 0 THEN 3 WHEN p_partkey % 11 = 0 THEN -2 ELSE 0 END AS b FROM part),
+v AS (SELECT spid, a, b, b + CASE WHEN spid % 5 = 0 THEN 4 ELSE 0 END AS c, spid % 10 = 9 AS late FROM p),
+feed AS (
+  SELECT spid, 1 AS version, 'insert' AS action, a AS main_ovr FROM v WHERE NOT late
+  UNION ALL SELECT spid, 2, CASE WHEN late THEN 'insert' ELSE 'update' END, b FROM v WHERE late OR a <> b
+  UNION ALL SELECT spid, 3, 'update', c FROM v WHERE b <> c)
+SELECT spid, version, action, main_ovr, lag(main_ovr) OVER w AS previous_ovr, main_ovr - lag(main_ovr) OVER w AS moved
+FROM feed WINDOW w AS (PARTITION BY spid ORDER BY version)
+""")
+def rating_history(spark, sf_dir):
+    """The ratings that three runs wrote, each beside the one before it, from the change feed of the table."""
+    part, key, root = table(spark, sf_dir, "part"), F.col("p_partkey"), work_dir(spark, "players")
+    second = F.col("p_size") + F.when(key % 7 == 0, 3).when(key % 11 == 0, -2).otherwise(0)
+    third = second + F.when(key % 5 == 0, 4).otherwise(0)
+    for rows, size in ((part.filter(key % 10 != 9), F.col("p_size")), (part, second), (part, third)):
+        commit_cards(_players_from_part(rows, size, F.col("p_type")), root, NOW, buckets=8)
+    feed = snapshots.read_feed(spark, root, PLAYERS)
+    return previous(feed, ["spid"], "version", "main_ovr", "previous_ovr").select(
+        "spid", "version", ACTION, "main_ovr", "previous_ovr", (F.col("main_ovr") - F.col("previous_ovr")).alias("moved")
+    )

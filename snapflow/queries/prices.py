@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -174,9 +175,8 @@ SELECT spid, strong, price, price_date, updated_on FROM state
 WHERE strong = 7 AND price BETWEEN 1 AND 3
 """)
 def range_search(spark, sf_dir):
-    """Grade and price-range search on the maintained table."""
-    state = snapshots.read_snapshot(spark, _committed(spark, sf_dir), PRICE_LATEST)
-    return _plain(snapshots.search(state, 7, 1, 3))
+    """Grade and price-range search on the maintained table: only files whose range meets it are opened."""
+    return _plain(snapshots.search_snapshot(spark, _committed(spark, sf_dir), PRICE_LATEST, 7, 1, 3))
 
 
 @query(f"{SLICES_SQL} SELECT spid, strong, price, price_date, updated_on FROM state")
@@ -198,6 +198,19 @@ def slices_of_one_day(spark, sf_dir):
     return _plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))
 
 
+@query(f"{SLICES_SQL} SELECT spid, strong, price, price_date, updated_on FROM state")
+def writers_side_by_side(spark, sf_dir):
+    """Four shards of a run commit to one table at the same time, each finding the others' commits on its way."""
+    old, new = state_and_batch(spark, sf_dir)
+    root = work_dir(spark, "prices")
+    commit_prices(old.drop("updated_at"), root, FIRST, "20240116", buckets=4)
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [pool.submit(commit_prices, new.filter(F.col("spid") % 4 == i), root, SECOND, f"20240201/{i}", 4) for i in range(4)]
+        for job in jobs:
+            job.result()
+    return _plain(snapshots.read_snapshot(spark, root, PRICE_LATEST))
+
+
 @query(f"""{SLICES_SQL}
 SELECT 3 AS version, count(*) AS attempted, 0 AS "insert", 0 AS "update", count(*) AS skip, 0 AS new_parts FROM n
 """)

@@ -73,4 +73,5 @@ def known_ids(dim: DataFrame) -> DataFrame:
 def read_run_log(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Logged rows; one run reads only its own partition."""
     log = spark.read.schema(schemas.RUN_LOG).parquet(path)
+    log = log.select(*[c.strip().split(" ")[0] for c in schemas.RUN_LOG.split(",")])
     return log if run_id is None else log.filter(F.col("run_id") == run_id)

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from snapflow.operators.upsert import ACTION, INSERT
+from snapflow.plans.kept_tables import card_transaction, has_undone
 from snapflow.schemas import PAGES
 from snapflow.sources import snapshots
+from snapflow.sources.transactions import find_record, unfinished
 
 
 def ingest_pages(
@@ -62,3 +64,39 @@ def needs_run(catalogue: DataFrame, spid: DataFrame) -> bool:
     gained = catalogue.filter(F.col(ACTION) == INSERT).select("spid")
     undone = spid.filter(~F.col("crawled")).select("spid")
     return not gained.limit(1).unionByName(undone.limit(1)).isEmpty()
+
+
+def card_stream(
+    stream: DataFrame,
+    store: str,
+    run_id: str,
+    now,
+    checkpoint: str,
+    shards: int = 1,
+    buckets: int = 64,
+    name: str | None = None,
+    only_new: bool = True,
+) -> StreamingQuery:
+    """Run the kept card job on all card pages landed so far, batch by batch, then stop.
+
+    A micro-batch is one transaction named by the run, the stream and its batch id, so the progress of the source and
+    the tables stay in step: a batch that comes again is found by its name, and one that died half done is carried
+    out. With ``only_new`` the gate comes first: a batch does nothing while no card of the catalogue is undone.
+    The stream's name is its checkpoint folder unless given.
+    """
+    name = name or checkpoint
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, part = batch.sparkSession, f"{name}#{batch_id}"
+        known = find_record(spark, store, f"{run_id}/{part}") is not None
+        if known and not unfinished(spark, store):
+            return
+        if known or not only_new or has_undone(spark, store):
+            card_transaction(batch, store, run_id, now, shards, buckets=buckets, part=part).commit()
+
+    return (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -262,17 +262,22 @@ def test_commit_leaves_the_session_settings_alone(spark, tmp_path):
     assert spark.conf.get(key, None) == before
 
 
-def test_search_layout_prunes(spark, tmp_path):
-    path = str(tmp_path / "search")
-    state = spark.range(1000).selectExpr(
-        "id AS spid", "CAST(id % 13 + 1 AS smallint) AS strong", "id * 10 AS price", "CAST(NULL AS date) AS price_date",
-        "CAST(NULL AS timestamp) AS updated_at",
-    )
-    snapshots.write_search_layout(state, path)
-    found = snapshots.search(spark.read.schema(PRICE_LATEST).parquet(path), 3, 100, 1000)
-    assert rows(found, "spid") == [(i,) for i in range(1000) if i % 13 == 2 and 100 <= i * 10 <= 1000]
-    plan = found._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(strong" in plan and "GreaterThanOrEqual(price,100)" in plan
+def test_search_opens_the_files_that_can_meet_it(spark, tmp_path):
+    root = str(tmp_path / "t")
+    prices = spark.range(400).selectExpr("id AS spid", "CAST(id % 13 + 1 AS smallint) AS strong", "id * 10 AS price", "CAST(NULL AS date) AS price_date")
+    commit_prices(prices, root, T(2024, 1, 1), "r/0", buckets=4)
+    commit_prices(prices.filter("spid < 30").withColumn("price", F.lit(9_000)), root, T(2024, 1, 2), "r/1", buckets=4)
+    live = {p.folder for p in snapshots.manifest(spark, root)}
+    whole = spark.read.option("basePath", f"{root}/data").parquet(*[f"{root}/data/w={w}" for w in live])
+    for lo, hi in ((100, 400), (0, 5_000), (9_000, 9_000), (3_990, 8_999), (20_000, 30_000)):
+        opened = snapshots.files_between(spark, root, lo, hi, strong=3)
+        ranges = whole.filter("strong = 3").groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("price").alias("a"), F.max("price").alias("b"))
+        current = {r.file for r in snapshots.zones(spark, root).collect()}
+        assert opened == sorted(r.f for r in ranges.collect() if r.a <= hi and r.b >= lo and r.f in current)
+        found = snapshots.search_snapshot(spark, root, PRICE_LATEST, 3, lo, hi)
+        assert rows(found, "spid", "price") == rows(snapshots.search(snapshots.read_snapshot(spark, root, PRICE_LATEST), 3, lo, hi), "spid", "price")
+        assert sorted(f.replace("file:///", "file:/") for f in found.inputFiles()) == opened
+    assert snapshots.search_snapshot(spark, str(tmp_path / "none"), PRICE_LATEST, 3, 0, 1).count() == 0
 
 
 def test_stream_in_bounded_batches(spark, tmp_path):
