@@ -1,6 +1,6 @@
 """Training-text pipeline over ``documents``: five stages, each written and read again by the next.
 
-quality classifier -> line dedup -> near-dedup on 5-word shingles -> benchmark decontamination -> byte-level BPE
+quality classifier -> line dedup -> near-dedup by fingerprints and 5-word shingles -> benchmark decontamination -> byte-level BPE
 """
 
 from __future__ import annotations
@@ -49,7 +49,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @staged
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies (0.8 of their 5-word shingles shared), that of the smallest id; repeated rows of it once."""
+    """One document of each group of copies (0.8 of their 5-word shingles shared), that of the smallest id; repeated rows of it once.
+
+    Operator 6's fingerprint shards link first, and each link is verified; signatures find the copies they leave apart.
+    """
     return jaccard.one_of_each(docs)
 
 

@@ -1,4 +1,5 @@
-"""Near-duplicates by Jaccard similarity of shingle sets: prefix signatures, then exact verification."""
+"""Near-duplicates by Jaccard similarity of shingle sets: the fingerprints of ``simhash`` first, prefix signatures for what
+they leave apart, and exact verification of both."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.llm.common import components, small_batches
-from snapflow.llm.simhash import first_of_each
+from snapflow.llm.simhash import bits_set, first_of_each, majority, near_links
 from snapflow.session import cut, drop_folders, work_dir
 
 WORDS = 5
@@ -26,20 +27,33 @@ FREQUENT = 65_536
 SLOTS = 1 << 20
 #: Rounds that compare with one member of each group before all pairs left are compared.
 CENTRES = 2
+_PART = 1 << 16
 
 
-def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the runs of k words; a shorter text is one shingle, none without words.
+def shingle_hashes(text: str | None, k: int = WORDS) -> np.ndarray:
+    """Hashes of the runs of k words, repeats included; a shorter text is one shingle, none without words.
 
     Words are those of the fingerprints: runs of anything but ASCII white space, A-Z in lower case.
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     k = min(k, len(words))
     hash_of = xxhash.xxh64_intdigest
-    found = np.fromiter((hash_of(b" ".join(words[i:i + k]), SEED) for i in range(len(words) - k + 1)), np.uint64)
-    return np.unique(found.view(np.int64))
+    return np.fromiter((hash_of(b" ".join(words[i:i + k]), SEED) for i in range(len(words) - k + 1)), np.uint64)
+
+
+def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
+    """Sorted distinct shingle hashes of a text."""
+    return np.unique(shingle_hashes(text, k).view(np.int64))
+
+
+def fingerprint_of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of ``simhash`` over these shingle hashes, a bounded part of them at a time."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), _PART):
+        total += bits_set(hashes[at:at + _PART])
+    return majority(total, len(hashes))
 
 
 def prefix_size(n: int) -> int:
@@ -98,6 +112,23 @@ def likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return both.filter(most * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM).select("a", "b")
 
 
+def fingerprint_pairs(points: DataFrame) -> DataFrame:
+    """Pairs (a, na, b, nb) of sets that the fingerprints link, of ``points`` (sid, n, fp): sets of equal fingerprints with one
+    of them, and these with one another where the vantage-point shards of ``simhash`` join their fingerprints."""
+    one = lambda c: F.struct("sid", "n").alias(c)
+    centres = cut(points.groupBy("fp").agg(F.min(F.struct("sid", "n")).alias("c")))
+    equal = points.join(centres, "fp").select(one("x"), F.col("c").alias("y"))
+    of = lambda c, y: centres.select(F.col("fp").alias(c), F.col("c").alias(y))
+    near = near_links(centres.select("fp")).join(of("a", "x"), "a").join(of("b", "y"), "b").select("x", "y")
+    pairs = equal.filter(F.col("x.sid") != F.col("y.sid")).unionByName(near)
+    return _sized(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
+def _sized(pairs: DataFrame) -> DataFrame:
+    """Pairs of structs (sid, n) as (a, na, b, nb)."""
+    return pairs.select(F.col("a.sid").alias("a"), F.col("a.n").alias("na"), F.col("b.sid").alias("b"), F.col("b.n").alias("nb"))
+
+
 def _near_labels(links: DataFrame) -> DataFrame:
     """(node, root): a node at most two links away, the smallest by hash; nodes of one root are connected.
 
@@ -128,9 +159,11 @@ def copy_groups(docs: DataFrame) -> DataFrame:
     """doc_id, tkey, sid and root of every document: documents of one root are joined by copies.
 
     Copies share 0.8 or more of all shingles of both. ``sid`` is a hash of the shingle
-    set, and equal sets are one point. In any fixed order of all shingles, two copies share
-    one of the first n - 0.8 n + 1 of their n shingles, so the signatures miss no pair. Of
-    sets with a signature shingle in common, all are compared with one member first; then,
+    set, and equal sets are one point. Fingerprints over the same shingles are joined through the
+    vantage-point shards of ``simhash`` first, and its links are verified on the sets. Copies can differ in
+    more bits than a tree can be searched for; the signatures find those: in any fixed order of all shingles, two
+    copies share one of the first n - 0.8 n + 1 of their n shingles, so no pair is missed. Of
+    sets of different labels with a signature shingle in common, all are compared with one member first; then,
     and only where that leaves several labels, all pairs of different labels.
 
     Signatures are shuffled twice, once to count the documents of a shingle and once to keep the shingles that
@@ -144,34 +177,47 @@ def copy_groups(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = [shingle_set(t) for t in pdf["text"]]
+            hashes = [shingle_hashes(t) for t in pdf["text"]]
+            sets = [np.unique(h.view(np.int64)) for h in hashes]
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"], "tkey": pdf["tkey"], "n": [len(s) for s in sets],
                 "sid": np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64),
+                "fp": np.array([fingerprint_of_hashes(h) for h in hashes], np.uint64).view(np.int64),
                 "first": [in_order(s, *known.value)[:prefix_size(len(s))] for s in sets],
             })
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     # ids as they are: pandas would make floats of integers beside nulls
     plain = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "tkey", "text")
-    signed = plain.mapInPandas(sign, "doc_id string, tkey long, n int, sid long, first array<long>")
+    signed = plain.mapInPandas(sign, "doc_id string, tkey long, n int, sid long, fp long, first array<long>")
     signed_at, points_at = work_dir(spark, "signed"), work_dir(spark, "points")
     signed = cut(signed.withColumn("doc_id", F.col("doc_id").cast(kind)), signed_at)
     one = F.min(F.struct("doc_id", "tkey")).alias("_key")  # a document that has the set; a struct compares null ids as equal
-    points = cut(signed.groupBy("sid").agg(one, F.min("n").alias("n"), F.any_value("first").alias("first")), points_at)
-    marks = cut(signed.drop("n", "first"))
+    points = cut(signed.groupBy("sid").agg(one, F.min("n").alias("n"), F.min("fp").alias("fp"), F.any_value("first").alias("first")), points_at)
+    marks = cut(signed.drop("n", "fp", "first"))
     drop_folders(spark, [signed_at])
     entries = points.select("sid", "n", F.posexplode("first").alias("at", "h"))
     shared = points.select(F.explode("first").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
     members = cut(entries.join(shared, "h"))
-    keys = cut(points.select("sid", "_key"))
+    keys = cut(points.select("sid", "_key", "n", "fp"))
     drop_folders(spark, [points_at])
     held_of = cut(members.groupBy("sid").agg(F.collect_list("h").alias("hs")))  # a signature's shared shingles
 
-    links, roots = None, None
+    def copies(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are copies, of pairs (a, na, b, nb)."""
+        pairs = cut(likely(pairs, held_of))
+        asked = cut(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(keys.select("sid", "_key"), "sid"))
+        held_at = work_dir(spark, "held")
+        held = cut(_asked_texts(texts, asked).select("sid", shingles("text").alias("hs")).dropDuplicates(["sid"]), held_at)
+        found = cut(verified(pairs, held))
+        drop_folders(spark, [held_at])
+        return found
+
+    links = copies(fingerprint_pairs(keys))
+    roots = cut(_near_labels(links))
     for salt in [*range(CENTRES), None]:
-        now = members if roots is None else members.join(roots, F.col("sid") == F.col("node"), "left")
-        now = now.withColumn("root", F.col("sid") if roots is None else F.coalesce("root", "sid")).select("h", "sid", "n", "at", "root")
+        now = members.join(roots, F.col("sid") == F.col("node"), "left")
+        now = now.withColumn("root", F.coalesce("root", "sid")).select("h", "sid", "n", "at", "root")
         open_groups = now.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("h")
         now = cut(now.join(open_groups, "h"))
         if not now.take(1):
@@ -188,16 +234,9 @@ def copy_groups(docs: DataFrame) -> DataFrame:
         pairs = now.join(other, "h").filter((F.col("root") != F.col("r2")) & near)
         one, two = F.struct("sid", "n"), F.struct(F.col("s2").alias("sid"), F.col("n2").alias("n"))
         pairs = pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
-        pairs = cut(likely(pairs.select(F.col("a.sid").alias("a"), F.col("a.n").alias("na"), F.col("b.sid").alias("b"), F.col("b.n").alias("nb")), held_of))
-        asked = cut(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(keys, "sid"))
-        held_at = work_dir(spark, "held")
-        held = cut(_asked_texts(texts, asked).select("sid", shingles("text").alias("hs")).dropDuplicates(["sid"]), held_at)
-        found = cut(verified(pairs, held))
-        drop_folders(spark, [held_at])
-        links = found if links is None else links.unionByName(found)
-        roots = cut(_near_labels(links)) if salt is not None else None
-    if links is None:
-        return marks.select("doc_id", "tkey", "sid", F.col("sid").alias("root"))
+        links = links.unionByName(copies(_sized(pairs)))
+        if salt is not None:
+            roots = cut(_near_labels(links))
     roots = components(links)
     joined = marks.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
     return joined.select("doc_id", "tkey", "sid", F.coalesce("root", "sid").alias("root"))

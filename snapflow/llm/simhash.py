@@ -25,6 +25,16 @@ _PART = 1 << 16
 _FULL = 1 << 22  # pairs compared at once without splitting further
 
 
+def bits_set(hashes) -> np.ndarray:
+    """How many of some 64-bit hashes have each bit set, the highest bit first."""
+    return np.unpackbits(np.asarray(hashes, ">u8").view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+
+
+def majority(total: np.ndarray, n: int) -> int:
+    """The number whose bits are those set in over half of ``n`` hashes."""
+    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+
+
 def fingerprint_of(text: str | None, k: int = WORDS) -> int:
     """SimHash of a text as unsigned number; texts without words give 0.
 
@@ -41,13 +51,10 @@ def fingerprint_of(text: str | None, k: int = WORDS) -> int:
     hash_of = xxhash.xxh64_intdigest
     total, n = np.zeros(64, np.int64), len(words) - k + 1
     for at in range(0, n, _PART):
-        part = np.array(
-            [hash_of(line[a:b - 1], SEED) for a, b in zip(starts[at:at + _PART], ends[at + k - 1:at + k - 1 + _PART])],
-            dtype=">u8",
+        total += bits_set(
+            [hash_of(line[a:b - 1], SEED) for a, b in zip(starts[at:at + _PART], ends[at + k - 1:at + k - 1 + _PART])]
         )
-        bits = np.unpackbits(part.view(np.uint8)).reshape(-1, 64)
-        total += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+    return majority(total, n)
 
 
 def fingerprint(text: Column | str) -> Column:

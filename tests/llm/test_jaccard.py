@@ -102,3 +102,30 @@ def test_copies_pass_the_weighing(spark):
     passed = {(r.a, r.b) for r in left.collect()}
     copies = {(a, b) for a, _, b, _ in pairs if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
     assert copies <= passed and 100 < len(copies) and len(passed) < len(pairs)
+
+
+def test_stage_joins_the_fingerprints_of_all_texts(spark, monkeypatch):
+    """The stage asks the operator's shards about every text, and what they link is verified: 4 bits are no copies by themselves."""
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base), edited(base, {200}), "quite another text of some words", "a b c d e", "a b c d f", None]
+    prints = [simhash.fingerprint_of(t, 5) for t in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= simhash.RADIUS
+    asked, linked, near = [], [], jaccard.near_links
+
+    def seen(fps):
+        asked.extend(r.fp for r in fps.collect())
+        out = near(fps)
+        linked.extend(frozenset((r.a, r.b)) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard, "near_links", seen)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_stage(spark, docs, "").collect()) == [0, 2, 3, 4, 5]
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    assert sorted(asked) == sorted(set(signed)) and frozenset(signed[:2]) in linked
+
+
+def test_fingerprint_pairs_are_those_of_the_shards(spark):
+    points = [(1, 10, 0), (2, 11, 0), (3, 12, 0b111), (4, 13, (1 << 62) - 1), (5, 9, (1 << 62) - 1), (6, 8, 0x5555555555555555)]
+    got = {(r.a, r.na, r.b, r.nb) for r in jaccard.fingerprint_pairs(spark.createDataFrame(points, "sid long, n int, fp long")).collect()}
+    assert got == {(1, 10, 2, 11), (1, 10, 3, 12), (4, 13, 5, 9)}
