@@ -112,6 +112,22 @@ def test_regular_reader_on_the_test_pages():
         assert tree(Page(html)) == tree(Standard(html))
 
 
+@pytest.mark.parametrize("html", ["1<!doctype x>2<i class=x title='<'>t</i>", "<p class='name'>1<!DOCTYPE x>2</p><textarea></textarea>"])
+def test_declarations_part_texts_in_both_readers(html):
+    assert tree(Page(html)) == tree(Standard(html))
+    assert Page(html).texts[:2] == ["1", "2"]
+
+
+def test_tags_that_recur_are_read_once():
+    """Pages alike in their tags, as the cards of a site are, ask the tag reader for new tags only."""
+    from snapflow.operators import page_text
+
+    page_text._tag.cache_clear()
+    for n in range(50):
+        card_text(f"<html><div class='thumb'><p class='name'>n{n}</p></div><span class='etc height'>{n}cm</span></html>")
+    assert page_text._tag.cache_info().misses == 8
+
+
 def test_unreadable_markup_is_not_fatal():
     for html in ("<![if x", "<!", "<" * 50, "<!-", "<?x", "\x00<p>"):
         card_text(html)
