@@ -227,7 +227,7 @@ def _players_from_part(df: DataFrame, size: Column, kind: Column) -> DataFrame:
 
 def card_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(players before, cards now)."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"), "p_partkey")
     key = F.col("p_partkey")
     size = F.col("p_size") + F.when(key % 7 == 0, 3).when(key % 11 == 0, -2).otherwise(0)
     kind = F.concat("p_type", F.when(key % 13 == 0, " X").otherwise(""))
@@ -550,7 +550,7 @@ FROM feed WINDOW w AS (PARTITION BY spid ORDER BY version)
 """)
 def rating_history(spark, sf_dir):
     """The ratings that three runs wrote, each beside the one before it, from the change feed of the table."""
-    part, key, root = table(spark, sf_dir, "part"), F.col("p_partkey"), work_dir(spark, "players")
+    part, key, root = spread(table(spark, sf_dir, "part"), "p_partkey"), F.col("p_partkey"), work_dir(spark, "players")
     second = F.col("p_size") + F.when(key % 7 == 0, 3).when(key % 11 == 0, -2).otherwise(0)
     third = second + F.when(key % 5 == 0, 4).otherwise(0)
     for rows, size in ((part.filter(key % 10 != 9), F.col("p_size")), (part, second), (part, third)):

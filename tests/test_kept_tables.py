@@ -298,3 +298,12 @@ def test_catalogue_job_on_kept_tables(spark, tmp_path):
     assert log == [
         ("r1", "sync", 2, '[{"season_id":5,"class_name":"five"}]', "[1,2]"), ("r2", "sync", 1, '[{"season_id":6,"class_name":"six"}]', "[3]"),
     ]
+
+
+def test_card_versions_come_in_several_tasks(spark):
+    """The part table is one split; the wide rows made of it, and what a commit keeps of them, are not."""
+    from snapflow.queries.cards import card_versions
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for df in card_versions(spark, "/root/testdata/sf0.001"):
+        assert tasks == df.select("spid").groupBy(F.spark_partition_id()).count().count()
