@@ -160,16 +160,32 @@ def card_records(pages: DataFrame, targets: DataFrame | None = None) -> DataFram
     )
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """``df`` with a column that tells rows without a card key apart, so that each is a group of its own."""
+    return df.withColumn("_alone", F.when(F.col("spid").isNull(), F.monotonically_increasing_id()))
+
+
+def last_pages(pages: DataFrame) -> DataFrame:
+    """The pages that can be the last of their card, by page id, each once: what another page replaces is not parsed.
+
+    Pages of one card and page id stay if they differ. Pages without a card key all stay.
+    """
+    last = Window.partitionBy("spid", "_alone").orderBy(F.desc_nulls_last("page_id"))
+    same = Window.partitionBy("spid", "_alone", "page_id", "html").orderBy("url")
+    newest = _apart(with_page_keys(pages)).withColumn("_n", F.rank().over(last)).filter("_n = 1")
+    once = newest.withColumn("_n", F.row_number().over(same)).filter("_n = 1")
+    return once.select(*pages.columns)
+
+
 def one_per_card(records: DataFrame) -> DataFrame:
-    """The last landed record of each card, by page id; records without a card key are all kept."""
-    last = Window.partitionBy("spid").orderBy(F.desc_nulls_last("page_id"), F.xxhash64("name", "error", "main_ovr"))
-    keyed = records.filter(F.col("spid").isNotNull()).withColumn("_n", F.row_number().over(last))
-    return keyed.filter("_n = 1").drop("_n").unionByName(records.filter(F.col("spid").isNull()))
+    """The last landed record of each card, by page id; records without a card key are all kept. The records are read once."""
+    last = Window.partitionBy("spid", "_alone").orderBy(F.desc_nulls_last("page_id"), F.xxhash64("name", "error", "main_ovr"))
+    return _apart(records).withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n", "_alone")
 
 
 def parse_cards(pages: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """The record of each landed card, parsed once: it feeds the dimensions, the write and the log."""
-    return cut(one_per_card(card_records(pages, targets)))
+    return cut(one_per_card(card_records(last_pages(pages), targets)))
 
 
 def run_card_job(

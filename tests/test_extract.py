@@ -255,3 +255,36 @@ def test_catalogue_then_only_new_cards(spark, tmp_path):
     assert {r.spid for r in target_keys(done.spid, only_new=True).collect()} == {100000009}
     log = done.log.first()
     assert (log.new_players, log.failures) == (1, 1)
+
+
+def test_pages_that_are_replaced_are_not_parsed(spark, monkeypatch):
+    """One parse for each card's last pages and for each page without a key; copies and older pages take none."""
+    from snapflow.plans import card_job
+
+    url = "https://x.example.com/a?spid={}&n1Strong=1"
+    rows = [(1, url.format(101000001), "<p class='name'>a</p>"), (2, url.format(101000001), "<p class='name'>b</p>")]
+    rows += [(2, url.format(101000001), "<p class='name'>b</p>"), (None, url.format(101000001), "<p class='name'>c</p>")]
+    rows += [(3, url.format(101000002), None)] * 2 + [(4, "https://x.example.com/none", "<p>x</p>")] * 2
+    parsed = []
+    records = card_job.card_records
+    monkeypatch.setattr(card_job, "card_records", lambda pages, targets: parsed.extend(pages.collect()) or records(pages, targets))
+    got = card_job.parse_cards(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.html or "") for r in parsed) == [(2, "<p class='name'>b</p>"), (3, ""), (4, "<p>x</p>"), (4, "<p>x</p>")]
+    assert sorted((r.page_id, r.name or "") for r in got) == [(2, "b"), (3, ""), (4, ""), (4, "")]
+
+
+def test_records_are_read_once(spark):
+    """Records with and without a card key come from one pass over the parsed pages."""
+    from snapflow.plans.card_job import one_per_card
+
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            counted.add(len(pdf))
+            yield pdf
+
+    rows = [(1, 7, "a", None, 1), (2, 7, "b", None, 1), (3, None, "x", "no card key", None), (3, None, "x", "no card key", None)]
+    schema = "page_id long, spid long, name string, error string, main_ovr int"
+    got = one_per_card(spark.createDataFrame(rows, schema).coalesce(1).mapInPandas(count, schema)).collect()
+    assert sorted(r.name for r in got) == ["b", "x", "x"] and counted.value == len(rows)
