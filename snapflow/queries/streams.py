@@ -11,7 +11,7 @@ from snapflow.queries.registry import query
 from snapflow.schemas import PRICE_LATEST
 from snapflow.session import work_dir
 from snapflow.sources import snapshots
-from snapflow.streaming.ingest import ingest_pages, upsert_stream
+from snapflow.streaming.ingest import ingest_pages, spread_pages, upsert_stream
 
 
 @query(f"""
@@ -21,10 +21,11 @@ SELECT spid, strong, CAST(price_date AS VARCHAR) AS price_date, price FROM serie
 def stream_price_pages(spark, sf_dir):
     """Landed price pages streamed file by file into the latest-price snapshot."""
     landed, root = work_dir(spark, "landed"), work_dir(spark, "stream")
-    prices.price_pages(spark, sf_dir).repartition(3, "page_id").write.parquet(landed)
+    # row groups small enough that several tasks read a file
+    prices.price_pages(spark, sf_dir).repartition(3, "page_id").write.option("parquet.block.size", 8 << 20).parquet(landed)
     upsert_stream(
         ingest_pages(spark, landed, max_files=1), root, PRICE_LATEST, KEYS,
-        lambda pages: price_batch(pages, F.lit(prices.AS_OF)),
+        lambda pages: price_batch(spread_pages(pages), F.lit(prices.AS_OF)),
         lambda state, batch, keys: upsert_latest(state, batch, prices.SECOND, keys),
         work_dir(spark, "offsets"), buckets=8,
     ).awaitTermination()

@@ -22,6 +22,15 @@ def ingest_pages(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
+def spread_pages(pages: DataFrame) -> DataFrame:
+    """Pages of a micro-batch over all tasks, before they are parsed.
+
+    A file written by one task is often one row group and so one split, whose pages one task would parse.
+    """
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(tasks, "page_id", "url")
+
+
 def upsert_stream(
     stream: DataFrame,
     root: str,

@@ -18,6 +18,7 @@ from snapflow.plans.price_job import commit_prices
 from snapflow.operators.shard import limit_keys, ordinal, stride_shard, union_shards, with_shard
 from snapflow.operators.upsert import upsert_catalogue, upsert_latest, upsert_seasons
 from snapflow.plans.report import run_message, run_summary, top_changed, top_new
+from snapflow.queries import streams
 from snapflow.schemas import PAGES, PRICE_LATEST, RUN_LOG, SEASON, SPID
 from snapflow.sources import snapshots
 from snapflow.sources.readers import read_card_catalogue, read_run_log, read_season_catalogue, target_keys
@@ -304,3 +305,15 @@ def test_stream_in_bounded_batches(spark, tmp_path):
 def test_pages_stream_schema(spark, tmp_path):
     spark.createDataFrame([(1, "u", "h")], PAGES).write.parquet(str(tmp_path / "p"))
     assert ingest_pages(spark, str(tmp_path / "p")).isStreaming
+
+
+def test_streamed_pages_are_parsed_by_all_tasks(spark, monkeypatch):
+    seen, parse = [], streams.price_batch
+
+    def noted(pages, as_of):
+        seen.append(pages.select(F.spark_partition_id()).distinct().count())
+        return parse(pages, as_of)
+
+    monkeypatch.setattr(streams, "price_batch", noted)
+    assert streams.stream_price_pages(spark, "/root/testdata/sf0.001").count() > 0
+    assert seen == [4, 4, 4]  # one landed file each, one row group
