@@ -279,6 +279,9 @@ def zones(spark: SparkSession, root: str, version: int | None = None) -> DataFra
 
 def files_between(spark: SparkSession, root: str, lo, hi, version: int | None = None, **layout) -> list[str]:
     """The files of a searched table whose range meets lo..hi, in folders of the given layout values; chosen before any is opened."""
+    version = newest(spark, root) if version is None else version
+    if not version:  # no table yet, so no layout columns either
+        return []
     found = zones(spark, root, version).filter((F.col("least") <= F.lit(hi)) & (F.col("most") >= F.lit(lo)))
     for column, value in layout.items():
         found = found.filter(F.col(column) == value)
