@@ -8,6 +8,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from snapflow.session import work_dir
 
 WIDTH = 2048
 END = 1  # the id that ends each document
-#: Chunks of text whose ids a worker keeps, and the longest chunk kept.
+#: Chunks of text whose ids a worker keeps, half of them words after a space, and the longest chunk kept.
 KNOWN, KNOWN_CHARS = 1 << 20, 32
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -32,6 +33,8 @@ _MARKS = r"!-&(-/:-@\[-`{-~"  # ASCII punctuation without the apostrophe, which
 # after a letter: at none of these places does a match of the byte-level pattern go on.
 _CHUNK = re.compile(rf" ?[{_LETTERS}]+(?=[ \n{_MARKS}])|\n(?=[{_LETTERS}])|[ \n]*[^ \n]+|[ \n]+")
 _WORD = re.compile(rf" ?[{_LETTERS}]+")
+# runs of white space, which a cut at each space would take apart
+_RUNS = ("  ", " \n", "\n ")
 # white space other than the two above, by the widest meaning of the word
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
@@ -59,6 +62,7 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
         self.model, self.chars = self.tokenizer.model, _byte_chars()
+        self.spaced = Spaced(self)
 
     def __missing__(self, chunk: str) -> bytes:
         if _WORD.fullmatch(chunk):  # one match of the pattern, so the model takes it as it is
@@ -67,7 +71,7 @@ class Words(dict):
         else:
             ids = self.whole(chunk)
         if len(chunk) <= KNOWN_CHARS:
-            if len(self) >= KNOWN:
+            if len(self) >= KNOWN // 2:
                 self.clear()
             self[chunk] = ids
         return ids
@@ -78,7 +82,47 @@ class Words(dict):
     def encode(self, text: str) -> bytes:
         if _OTHER_SPACE.search(text):
             return b"".join(self.whole(part) for part, _ in safe_pieces(text))
-        return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
+        if any(run in text for run in _RUNS):
+            return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
+        first, *pieces = text.split(" ")  # each single space starts a chunk
+        return b"".join(map(self.__getitem__, _CHUNK.findall(first))) + self.spaced.encode(pieces)
+
+
+class Spaced(dict):
+    """Ids of pieces of text that follow a space, with that space; pieces met are kept up to a bound.
+
+    New words of a text go through the tokenizer's model together; only their first tokens begin with a space.
+    """
+
+    def __init__(self, words: Words):
+        super().__init__()
+        self.words, self.space = words, words.chars[ord(" ")]
+        self.bare = Tokenizer(words.model)  # the model alone, for words that are one match of the pattern each
+        vocab = words.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocab.values()) + 1, bool)
+        self.begins[[i for token, i in vocab.items() if token.startswith(self.space)]] = True
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = b"".join(map(self.words.__getitem__, _CHUNK.findall(" " + piece)))
+        if len(piece) <= KNOWN_CHARS and "\n" not in piece:
+            if len(self) >= KNOWN // 2:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def encode(self, pieces: list[str]) -> bytes:
+        new = [p for p in filterfalse(self.__contains__, set(pieces)) if len(p) <= KNOWN_CHARS and (p.isascii() and p.isalpha() or _WORD.fullmatch(p))]
+        if new and len(new) <= KNOWN // 2:
+            self.learn(new)
+        return b"".join(map(self.__getitem__, pieces))
+
+    def learn(self, new: list[str]) -> None:
+        shown = [self.space + (p if p.isascii() else p.encode().decode("latin-1").translate(self.words.chars)) for p in new]
+        ids = np.array(self.bare.encode_batch_fast([shown], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        whole, at = ids.tobytes(), (np.flatnonzero(self.begins[ids]) * 4).tolist()
+        if len(self) + len(new) > KNOWN // 2:
+            self.clear()
+        self.update(zip(new, map(whole.__getitem__, map(slice, at, [*at[1:], len(whole)])), strict=True))
 
 
 @lru_cache(maxsize=2)

@@ -47,6 +47,24 @@ def test_bounded_cache(monkeypatch):
     assert len(known) <= 8
 
 
+def test_new_words_of_a_text_go_through_the_model_together(monkeypatch):
+    known, asked = packing.Words(BYTES), []
+    learn = packing.Spaced.learn
+    monkeypatch.setattr(packing.Spaced, "learn", lambda self, new: asked.append(sorted(new)) or learn(self, new))
+    text = "One zweiß étés zweiß, un.\nZwei trois \u4e00\u4e8c x1 don't"
+    for _ in range(2):
+        assert np.frombuffer(known.encode(text), "<u4").tolist() == plain_ids(text)[:-1]
+    assert asked == [["trois", "zweiß", "étés"]]  # once; pieces with marks, digits or other letters go by chunks
+
+
+def test_words_of_all_lengths_and_letters_by_the_model():
+    rng, known = random.Random(7), packing.Words(BYTES)
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(192, 256)) if c not in (215, 247)]
+    for _ in range(300):
+        text = "".join(rng.choice([" ", " ", "\n", ". ", ", "]) + "".join(rng.choices(letters, k=rng.randrange(1, 36))) for _ in range(40))
+        assert np.frombuffer(known.encode(text), "<u4").tolist() == plain_ids(text)[:-1], repr(text)
+
+
 def covered(counts, width):
     """Every id of every run in one place, gapless; sizes of the sequences."""
     places = packing.Places(packing.pack(counts, width), width)
