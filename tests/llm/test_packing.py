@@ -1,5 +1,6 @@
 """Packing: ids against the tokenizer, every id in one place, nothing padded."""
 
+import json
 import random
 
 import numpy as np
@@ -65,6 +66,31 @@ def test_words_of_all_lengths_and_letters_by_the_model():
         assert np.frombuffer(known.encode(text), "<u4").tolist() == plain_ids(text)[:-1], repr(text)
 
 
+def test_usual_texts_go_by_the_ranks_of_the_merges(monkeypatch):
+    known = packing.Words(BYTES)
+    monkeypatch.setattr(packing.Words, "__missing__", lambda self, chunk: pytest.fail(chunk))
+    for text in ("", "One zweiß étés, un.\nZwei  trois x1 don't <|endoftext|>", "x" * 5_000 + " " * 9_000 + "y", "a \t\r\n\xa0 b"):
+        assert np.frombuffer(known.encode(text), "<u4").tolist() == plain_ids(text)[:-1]
+
+
+def test_ranks_split_usual_characters_as_the_tokenizer_does():
+    known = packing.Words(BYTES)
+    usual = [chr(c) for c in range(0x250) if not packing._UNSURE.search(chr(c))]
+    for c in usual:
+        text = "".join(f"{c}{d}a {c}{d}{c} 1{c}" for d in usual)
+        assert np.frombuffer(known.encode(text), "<u4").tolist() == plain_ids(text)[:-1], repr(c)
+
+
+def test_files_of_another_kind_keep_the_tokenizer(tmp_path):
+    file = json.loads(open(BYTES, encoding="utf-8").read())
+    changed = [{"ignore_merges": True}, {"merges": file["model"]["merges"][::-1]}]
+    for i, change in enumerate(changed):
+        path = tmp_path / f"{i}.json"
+        path.write_text(json.dumps(file | {"model": file["model"] | change}), encoding="utf-8")
+        assert packing.ranked(str(path), Tokenizer.from_file(str(path))) is None
+    assert packing.ranked(BYTES, TOKENIZER)
+
+
 def covered(counts, width):
     """Every id of every run in one place, gapless; sizes of the sequences."""
     places = packing.Places(packing.pack(counts, width), width)
